@@ -116,11 +116,11 @@ def events_approaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approaches(table(spark, sf_dir, "events"), EVENTS, F.expr("CAST(ts AS DATE)").alias("feed_date"))
 
 
-def as_object(object_id: Column, approach_count: int = 2) -> Column:
+def as_object(object_id: Column, magnitude: Column | None = None, approach_count: Column | None = None) -> Column:
     """An approach row as a feed object.
 
     Its approach list has the row's approach first and then another, which must not be taken.
-    Distances are quoted numbers and velocities bare ones; both occur in feeds.
+    Distances are quoted numbers and velocities bare ones; the flatten reads both alike.
     """
 
     def diameter(unit: str) -> Column:
@@ -145,10 +145,10 @@ def as_object(object_id: Column, approach_count: int = 2) -> Column:
         object_id.alias("id"),
         "name",
         "nasa_jpl_url",
-        "absolute_magnitude_h",
+        (F.col("absolute_magnitude_h") if magnitude is None else magnitude).alias("absolute_magnitude_h"),
         F.struct(*(diameter(unit) for unit in ("kilometers", "meters", "miles", "feet"))).alias("estimated_diameter"),
         "is_potentially_hazardous_asteroid",
-        F.slice(approach_list, 1, approach_count).alias("close_approach_data"),
+        (approach_list if approach_count is None else F.slice(approach_list, F.lit(1), approach_count)).alias("close_approach_data"),
         "is_sentry_object",
     )
 
@@ -161,6 +161,11 @@ def as_document(day: Column) -> Column:
     return encode_feed(F.lit(2), F.create_map(F.date_format(day, "yyyy-MM-dd"), objects))
 
 
+def land(documents: DataFrame, folder: str) -> None:
+    """Documents as landed text, one per line."""
+    documents.select("value").write.mode("append").text(folder)
+
+
 def document_rows_sql(rows: str) -> str:
     """What flattening the documents of `rows` gives."""
     columns = ", ".join(APPROACH_COLUMNS)

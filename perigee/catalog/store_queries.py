@@ -15,6 +15,7 @@ from perigee.catalog.bindings import (
     as_document,
     document_rows_sql,
     events_approaches,
+    land,
     table,
 )
 from perigee.operators.days import newest_per_day
@@ -90,21 +91,21 @@ FROM a WHERE close_approach_date BETWEEN DATE '{LIVE_START}' AND DATE '{HIST_END
 # --- documents to day store -----------------------------------------------------------------
 
 
-def _landed(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """Publish a document per event, then once more the last one of each day.
+def _land_twice(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Land a document per event, then publish the last one of each day once more.
 
     Of a day's documents the newest counts, so the day store ends up with the last event of
     each day, whatever order the files of the first round come in.
     """
     rows = events_approaches(spark, sf_dir).withColumn("event", F.col("id").cast("bigint"))
     documents = rows.select("feed_date", "event", as_document(_day()).alias("value"))
-    publish_files(documents, landing)
+    land(documents, landing)
     publish_files(newest_per_day(documents, "feed_date", "event", ["value"]), landing)
 
 
 def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "backfill")
-    _landed(spark, sf_dir, f"{root}/landing")
+    _land_twice(spark, sf_dir, f"{root}/landing")
     jobs.backfill(spark, f"{root}/landing", f"{root}/hist", date(2024, 1, 1), HIST_END)
     return read_days(spark, f"{root}/hist")
 
@@ -112,7 +113,7 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream takes all documents, and a second run finds nothing new."""
     root = work_dir(spark, "live")
-    _landed(spark, sf_dir, f"{root}/landing")
+    _land_twice(spark, sf_dir, f"{root}/landing")
     for _ in range(2):
         jobs.live(spark, f"{root}/landing", f"{root}/live", f"{root}/checkpoint")
     return read_days(spark, f"{root}/live")

@@ -30,7 +30,9 @@ def ingest(
     single document, and choosing it leaves each day in one task, so the write needs no
     further shuffle.
     """
-    lists = day_lists(documents, start, end)
+    # Lines of one file block have the same origin; one task reads them in order, and the id follows.
+    position = F.struct("origin", F.monotonically_increasing_id().alias("row"))
+    lists = day_lists(documents.select("value", position.alias("position")), start, end)
     seen = Observation()
     usable = lists.observe(seen, F.count_if(F.col("reason").isNotNull()).alias("unusable")).filter(
         F.col("reason").isNull()

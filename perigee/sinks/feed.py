@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 def _messages(documents: DataFrame) -> DataFrame:
     # Nothing is sent for an empty document.
-    text = F.trim("value")
-    return documents.select("value").filter((text != "") & (text != "{}") & (text != "null"))
+    return documents.select("value").filter(~F.trim("value").isin("", "{}", "null"))
 
 
 def publish_files(documents: DataFrame, path: str) -> None:

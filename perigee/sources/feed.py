@@ -1,7 +1,7 @@
 """Feed documents, landed as text or relayed as messages.
 
-Both readers give `value` (the document) and `position` (what makes one document newer than
-another), so everything after them is shared.
+All readers give `value` (the document) and `origin` (where and when it came in, in an order
+that puts the newer document last), so everything after them is shared.
 """
 
 from __future__ import annotations
@@ -12,17 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _file_position() -> Column:
-    # Within a file block rows are read in order by one task, so the id follows the lines.
+def _file_origin() -> Column:
     return F.struct(
         F.col("_metadata.file_modification_time").alias("time"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
     )
 
 
-def _message_position() -> Column:
+def _message_origin() -> Column:
     # Offsets only compare within a topic partition, so the message time goes first.
     return F.struct("timestamp", "partition", "offset")
 
@@ -30,7 +28,7 @@ def _message_position() -> Column:
 def read_feed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """Landed documents: one per line, or one per file with `whole_files`."""
     text = spark.read.option("wholetext", whole_files).text(path)
-    return text.select("value", _file_position().alias("position"))
+    return text.select("value", _file_origin().alias("origin"))
 
 
 def stream_feed(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -38,7 +36,7 @@ def stream_feed(spark: SparkSession, path: str, max_files: int | None = None) ->
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path).select("value", _file_position().alias("position"))
+    return reader.load(path).select("value", _file_origin().alias("origin"))
 
 
 def stream_topic(
@@ -56,4 +54,4 @@ def stream_topic(
         **(options or {}),
     }
     messages = spark.readStream.format("kafka").options(**settings).load()
-    return messages.select(F.col("value").cast("string").alias("value"), _message_position().alias("position"))
+    return messages.select(F.col("value").cast("string").alias("value"), _message_origin().alias("origin"))
