@@ -16,7 +16,7 @@ from perigee.plans.marts import (
     cluster_mart_from_rollup,
     day_counts,
 )
-from perigee.plans.rollup import approach_rollup, rollup_day_counts
+from perigee.plans.rollup import approach_rollup
 from perigee.schema import APPROACH_COLUMNS, STORE_PARTITIONS
 from perigee.session import work_table
 from perigee.sinks.days import write_partitions
@@ -81,10 +81,16 @@ def rollup(
 ) -> None:
     """Write the rollup of the union table, or renew it for some days only."""
     rows = read_union(spark, union_table, start, end, partitions=True)
-    parts = approach_rollup(rows, by=STORE_PARTITIONS)
+    # The grouping scatters each day over all tasks; without the rebalance each would write every day.
+    parts = approach_rollup(rows, by=STORE_PARTITIONS).hint("rebalance", *STORE_PARTITIONS)
     write_partitions(parts, out, STORE_PARTITIONS, replace_all=start is None and end is None)
 
 
+def _stored_days(days: DataFrame) -> DataFrame:
+    """Day counts as a small stored table, read by one task."""
+    return work_table(days, "days").coalesce(1)
+
+
 def _write_period_marts(marts: dict, days: DataFrame, out: str) -> None:
     for name, build in marts.items():
         write_mart(build(days), f"{out}/{name}")
@@ -97,7 +103,7 @@ def _write_cluster_marts(parts: DataFrame, out: str, as_of: date | None) -> None
 
 def approach_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The six marts on how often approaches happen, from one scan."""
-    _write_period_marts(APPROACH_MARTS, work_table(day_counts(read_union(spark, union_table)), "days"), out)
+    _write_period_marts(APPROACH_MARTS, _stored_days(day_counts(read_union(spark, union_table))), out)
 
 
 def cluster_marts(spark: SparkSession, union_table: str, out: str, as_of: date | None = None) -> None:
@@ -107,7 +113,7 @@ def cluster_marts(spark: SparkSession, union_table: str, out: str, as_of: date |
 
 def kpi_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The seven KPIs, from one scan."""
-    _write_period_marts(KPI_MARTS, work_table(day_counts(read_union(spark, union_table)), "days"), out)
+    _write_period_marts(KPI_MARTS, _stored_days(day_counts(read_union(spark, union_table))), out)
 
 
 def daily(
@@ -128,7 +134,7 @@ def daily(
     union(spark, hist, live, f"{out}/union", start, end)
     rollup(spark, f"{out}/union", f"{out}/rollup", start, end)
     parts = spark.read.parquet(f"{out}/rollup")
-    days = work_table(rollup_day_counts(parts), "days")
+    days = _stored_days(day_counts(parts, weight="row_count"))
     _write_period_marts(APPROACH_MARTS, days, out)
     _write_cluster_marts(parts, out, as_of)
     _write_period_marts(KPI_MARTS, days, out)

@@ -61,9 +61,13 @@ def band_labels() -> dict[str, Column]:
 # --- period marts ---------------------------------------------------------------------------
 
 
-def day_counts(approaches: DataFrame) -> DataFrame:
-    """Day-grain period table of approach rows."""
-    return period_counts(approaches, DATE, "day")
+def day_counts(approaches: DataFrame, weight: str | None = None) -> DataFrame:
+    """Day-grain period table of approach rows, or of the rollup with its `row_count` as weight.
+
+    The counting is spread as usual; its result, one row per day, then goes to one partition,
+    where coarser groupings and windows need no further shuffle.
+    """
+    return period_counts(approaches, DATE, "day", weight).repartition(1)
 
 
 def _coarser(days: DataFrame, grain: str) -> DataFrame:

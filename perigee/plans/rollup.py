@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.operators.periods import period_counts
 from perigee.operators.profiles import profile_parts
 from perigee.plans.marts import DATE, MEASURES, band_labels, hazard_label
 
@@ -27,8 +26,3 @@ def approach_rollup(approaches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         "orbiting_body": F.col("orbiting_body"),
     }
     return profile_parts(approaches, keys, "id", MEASURES)
-
-
-def rollup_day_counts(rollup: DataFrame) -> DataFrame:
-    """Day-grain period table from the rollup."""
-    return period_counts(rollup, DATE, "day", weight="row_count")
