@@ -27,7 +27,7 @@ def _message_origin() -> Column:
 
 def read_feed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """Landed documents: one per line, or one per file with `whole_files`."""
-    text = spark.read.option("wholetext", whole_files).text(path)
+    text = spark.read.text(path, wholetext=whole_files)
     return text.select("value", _file_origin().alias("origin"))
 
 
