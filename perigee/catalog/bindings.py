@@ -116,10 +116,19 @@ def events_approaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approaches(table(spark, sf_dir, "events"), EVENTS, F.expr("CAST(ts AS DATE)").alias("feed_date"))
 
 
-def as_object(object_id: Column, magnitude: Column | None = None, approach_count: Column | None = None) -> Column:
-    """An approach row as a feed object.
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over as many tasks as the session has cores, if the scan alone would use fewer.
+
+    Writing and parsing JSON is heavy per row, and a table of few files is read by few tasks.
+    Large tables come in more tasks than that and are left as they are.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def as_object(object_id: Column, magnitude: Column | None = None, with_approach: Column | None = None) -> Column:
+    """An approach row as a feed object; an empty second approach follows, which must not be taken.
 
-    Its approach list has the row's approach first and then another, which must not be taken.
     Distances are quoted numbers and velocities bare ones; the flatten reads both alike.
     """
 
@@ -128,19 +137,19 @@ def as_object(object_id: Column, magnitude: Column | None = None, approach_count
             *(F.col(f"estimated_diameter_{end}_{unit}").alias(f"estimated_diameter_{end}") for end in ("min", "max"))
         ).alias(unit)
 
-    def approach(body: Column) -> Column:
-        speeds = ("kilometers_per_second", "kilometers_per_hour", "miles_per_hour")
-        distances = ("astronomical", "lunar", "kilometers", "miles")
-        return F.struct(
-            F.col("close_approach_date").cast("string").alias("close_approach_date"),
-            "close_approach_date_full",
-            "epoch_date_close_approach",
-            F.struct(*(F.col(f"relative_velocity_{u}").alias(u) for u in speeds)).alias("relative_velocity"),
-            F.struct(*(F.col(f"miss_distance_{u}").cast("string").alias(u) for u in distances)).alias("miss_distance"),
-            body.alias("orbiting_body"),
-        )
-
-    approach_list = F.array(approach(F.col("orbiting_body")), approach(F.lit("another")))
+    speeds = ("kilometers_per_second", "kilometers_per_hour", "miles_per_hour")
+    distances = ("astronomical", "lunar", "kilometers", "miles")
+    approach = F.struct(
+        F.col("close_approach_date").cast("string").alias("close_approach_date"),
+        "close_approach_date_full",
+        "epoch_date_close_approach",
+        F.struct(*(F.col(f"relative_velocity_{u}").alias(u) for u in speeds)).alias("relative_velocity"),
+        F.struct(*(F.col(f"miss_distance_{u}").cast("string").alias(u) for u in distances)).alias("miss_distance"),
+        "orbiting_body",
+    )
+    approaches_ = F.array(approach, F.lit(None))
+    if with_approach is not None:
+        approaches_ = F.when(with_approach, approaches_)
     return F.struct(
         object_id.alias("id"),
         "name",
@@ -148,22 +157,24 @@ def as_object(object_id: Column, magnitude: Column | None = None, approach_count
         (F.col("absolute_magnitude_h") if magnitude is None else magnitude).alias("absolute_magnitude_h"),
         F.struct(*(diameter(unit) for unit in ("kilometers", "meters", "miles", "feet"))).alias("estimated_diameter"),
         "is_potentially_hazardous_asteroid",
-        (approach_list if approach_count is None else F.slice(approach_list, F.lit(1), approach_count)).alias("close_approach_data"),
+        approaches_.alias("close_approach_data"),
         "is_sentry_object",
     )
 
 
 def as_document(day: Column) -> Column:
-    """An approach row as a day's document: two objects that count, and a third that does not."""
-    objects = F.array(
-        as_object(F.col("id")), as_object(F.concat("id", F.lit("b"))), as_object(F.lit("beyond the count"))
-    )
+    """An approach row as a day's document: two objects that count, and an empty third that does not."""
+    objects = F.array(as_object(F.col("id")), as_object(F.concat("id", F.lit("b"))), F.lit(None))
     return encode_feed(F.lit(2), F.create_map(F.date_format(day, "yyyy-MM-dd"), objects))
 
 
-def land(documents: DataFrame, folder: str) -> None:
-    """Documents as landed text, one per line."""
-    documents.select("value").write.mode("append").text(folder)
+def documents(rows: DataFrame, text: Column, *also: str) -> DataFrame:
+    """Documents made from rows, as `value`.
+
+    The explode sets the text apart: otherwise the optimizer would copy its long expression
+    into everything that reads a part of it.
+    """
+    return rows.select(*also, F.explode(F.array(text)).alias("value"))
 
 
 def document_rows_sql(rows: str) -> str:

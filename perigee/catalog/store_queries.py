@@ -14,8 +14,9 @@ from perigee.catalog.bindings import (
     approaches_sql,
     as_document,
     document_rows_sql,
+    documents,
     events_approaches,
-    land,
+    spread,
     table,
 )
 from perigee.operators.days import newest_per_day
@@ -91,21 +92,21 @@ FROM a WHERE close_approach_date BETWEEN DATE '{LIVE_START}' AND DATE '{HIST_END
 # --- documents to day store -----------------------------------------------------------------
 
 
-def _land_twice(spark: SparkSession, sf_dir: str, landing: str) -> None:
-    """Land a document per event, then publish the last one of each day once more.
+def _land(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """Publish a document per event, then the last one of each day once more.
 
     Of a day's documents the newest counts, so the day store ends up with the last event of
     each day, whatever order the files of the first round come in.
     """
-    rows = events_approaches(spark, sf_dir).withColumn("event", F.col("id").cast("bigint"))
-    documents = rows.select("feed_date", "event", as_document(_day()).alias("value"))
-    land(documents, landing)
-    publish_files(newest_per_day(documents, "feed_date", "event", ["value"]), landing)
+    rows = spread(events_approaches(spark, sf_dir)).withColumn("event", F.col("id").cast("bigint"))
+    last = newest_per_day(rows, "feed_date", "event", APPROACH_COLUMNS)
+    for published in (rows, last):
+        publish_files(documents(published, as_document(_day())), landing)
 
 
 def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "backfill")
-    _land_twice(spark, sf_dir, f"{root}/landing")
+    _land(spark, sf_dir, f"{root}/landing")
     jobs.backfill(spark, f"{root}/landing", f"{root}/hist", date(2024, 1, 1), HIST_END)
     return read_days(spark, f"{root}/hist")
 
@@ -113,7 +114,7 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream takes all documents, and a second run finds nothing new."""
     root = work_dir(spark, "live")
-    _land_twice(spark, sf_dir, f"{root}/landing")
+    _land(spark, sf_dir, f"{root}/landing")
     for _ in range(2):
         jobs.live(spark, f"{root}/landing", f"{root}/live", f"{root}/checkpoint")
     return read_days(spark, f"{root}/live")
@@ -128,14 +129,14 @@ def _last_of_day_sql(until: date | None = None) -> str:
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through a landing folder; empty ones are not sent."""
     folder = f"{work_dir(spark, 'published')}/landing"
-    rows = events_approaches(spark, sf_dir)
-    empty = F.when(F.col("is_sentry_object"), F.lit("{}"))
+    rows = spread(events_approaches(spark, sf_dir))
+    empty = F.when(F.col("is_potentially_hazardous_asteroid"), F.lit("{}"))
     publish_files(rows.select(F.coalesce(empty, F.to_json(F.struct("id", "name"))).alias("value")), folder)
     return read_feed(spark, folder).select("value")
 
 
 _PUBLISHED_SQL = """
-SELECT '{"id":"' || event_id || '","name":"' || event_type || '"}' AS value FROM events WHERE NOT user_id < 20
+SELECT '{"id":"' || event_id || '","name":"' || event_type || '"}' AS value FROM events WHERE event_type <> 'error'
 """
 
 

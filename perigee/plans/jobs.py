@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,8 @@ from perigee.sources.feed import read_feed, stream_feed
 from perigee.sources.stores import read_days, read_union
 from perigee.streaming.live import run_live
 
+MARTS_AT_ONCE = 4
+
 
 def backfill(
     spark: SparkSession,
@@ -91,29 +95,37 @@ def _stored_days(days: DataFrame) -> DataFrame:
     return work_table(days, "days").coalesce(1)
 
 
-def _write_period_marts(marts: dict, days: DataFrame, out: str) -> None:
-    for name, build in marts.items():
-        write_mart(build(days), f"{out}/{name}")
+def _period_marts(marts: Mapping[str, Callable[[DataFrame], DataFrame]], days: DataFrame) -> dict[str, DataFrame]:
+    return {name: build(days) for name, build in marts.items()}
+
 
+def _cluster_marts(parts: DataFrame, as_of: date | None) -> dict[str, DataFrame]:
+    return {name: cluster_mart_from_rollup(mart, parts, as_of) for name, mart in CLUSTER_MARTS.items()}
 
-def _write_cluster_marts(parts: DataFrame, out: str, as_of: date | None) -> None:
-    for name, mart in CLUSTER_MARTS.items():
-        write_mart(cluster_mart_from_rollup(mart, parts, as_of), f"{out}/{name}")
+
+def _write_marts(marts: Mapping[str, DataFrame], out: str) -> None:
+    """Write marts, a few at a time: each is a tiny job that mostly waits for planning and commits."""
+    with ThreadPoolExecutor(MARTS_AT_ONCE) as pool:
+        for written in [pool.submit(write_mart, mart, f"{out}/{name}") for name, mart in marts.items()]:
+            written.result()
 
 
 def approach_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The six marts on how often approaches happen, from one scan."""
-    _write_period_marts(APPROACH_MARTS, _stored_days(day_counts(read_union(spark, union_table))), out)
+    days = _stored_days(day_counts(read_union(spark, union_table)))
+    _write_marts(_period_marts(APPROACH_MARTS, days), out)
 
 
 def cluster_marts(spark: SparkSession, union_table: str, out: str, as_of: date | None = None) -> None:
     """The four profiles of the objects, from one scan."""
-    _write_cluster_marts(work_table(approach_rollup(read_union(spark, union_table)), "parts"), out, as_of)
+    parts = work_table(approach_rollup(read_union(spark, union_table)), "parts")
+    _write_marts(_cluster_marts(parts, as_of), out)
 
 
 def kpi_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The seven KPIs, from one scan."""
-    _write_period_marts(KPI_MARTS, _stored_days(day_counts(read_union(spark, union_table))), out)
+    days = _stored_days(day_counts(read_union(spark, union_table)))
+    _write_marts(_period_marts(KPI_MARTS, days), out)
 
 
 def daily(
@@ -135,10 +147,13 @@ def daily(
     rollup(spark, f"{out}/union", f"{out}/rollup", start, end)
     parts = spark.read.parquet(f"{out}/rollup")
     days = _stored_days(day_counts(parts, weight="row_count"))
-    _write_period_marts(APPROACH_MARTS, days, out)
-    _write_cluster_marts(parts, out, as_of)
-    _write_period_marts(KPI_MARTS, days, out)
+    marts = {
+        **_period_marts(APPROACH_MARTS, days),
+        **_cluster_marts(parts, as_of),
+        **_period_marts(KPI_MARTS, days),
+    }
+    _write_marts(marts, out)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        for name in (*APPROACH_MARTS, *CLUSTER_MARTS, *KPI_MARTS):
+        for name in marts:
             register_table(spark, f"{database}.{name.split('/')[1]}", f"{out}/{name}")
