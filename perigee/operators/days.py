@@ -27,11 +27,20 @@ def missing_days(days: DataFrame, counts: DataFrame) -> DataFrame:
     return days.join(counts.select(F.col("period").alias("day")), "day", "left_anti")
 
 
-def newest_per_day(df: DataFrame, day: str, position: str, columns: Sequence[str]) -> DataFrame:
+def newest_per_day(df: DataFrame, day: str, position: str, columns: Sequence[str], ways: int = 1) -> DataFrame:
     """For each day, `columns` of the row with the greatest `position`.
 
-    An aggregate, not a window: each task keeps one row per day before the shuffle, so a day
-    with a very large share of the rows sends one row per task.
+    An aggregate, not a window: each task keeps one row per day before the shuffle. A day found
+    in very many tasks still sends one row from each, so with `ways` above 1 they first meet in
+    that many groups per day, and then one row of each group meets the others.
     """
+    if ways > 1:
+        way = F.pmod(F.spark_partition_id(), F.lit(ways))
+        df = _newest(df.withColumn("way", way), [day, "way"], position, columns)
+    return _newest(df, [day], position, columns).select(day, *columns)
+
+
+def _newest(df: DataFrame, keys: Sequence[str], position: str, columns: Sequence[str]) -> DataFrame:
     newest = F.max_by(F.struct(*columns), F.col(position)).alias("newest")
-    return df.groupBy(day).agg(newest).select(day, *(f"newest.{name}" for name in columns))
+    groups = df.groupBy(*keys).agg(newest, F.max(position).alias(position))
+    return groups.select(*keys, position, *(f"newest.{name}" for name in columns if name != position))

@@ -104,6 +104,6 @@ def feed_errors(documents: DataFrame, start: date | None = None, end: date | Non
     return day_lists(documents, start, end).filter(F.col("reason").isNotNull()).drop("objects")
 
 
-def newest_lists(lists: DataFrame) -> DataFrame:
+def newest_lists(lists: DataFrame, ways: int = 1) -> DataFrame:
     """Of several usable lists of a day, the one from the newest document."""
-    return newest_per_day(lists, "feed_date", "position", ["objects"])
+    return newest_per_day(lists, "feed_date", "position", ["objects"], ways)

@@ -11,6 +11,11 @@ from perigee.operators.flatten import day_lists, flatten_lists, newest_lists
 from perigee.sinks.days import write_days
 
 
+# Groups in which the candidates for one day meet first. Whole documents are compared, and a day
+# may have one in every task.
+WAYS = 32
+
+
 class FeedErrors(RuntimeError):
     """Some documents could not be stored; the error table says which and why."""
 
@@ -37,7 +42,7 @@ def ingest(
     usable = lists.observe(seen, F.count_if(F.col("reason").isNotNull()).alias("unusable")).filter(
         F.col("reason").isNull()
     )
-    write_days(flatten_lists(newest_lists(usable)), out, clustered=True)
+    write_days(flatten_lists(newest_lists(usable, WAYS)), out, clustered=True)
     unusable = seen.get.get("unusable") or 0
     if unusable:
         lists.filter(F.col("reason").isNotNull()).drop("objects").write.mode("overwrite").parquet(errors)

@@ -74,10 +74,22 @@ def test_documents_are_parsed_once_without_a_shuffle(spark, tmp_path):
 
 
 def test_newest_per_day_keeps_one_row_per_task(spark):
-    text = plan(newest_per_day(spark.range(9).selectExpr("id % 2 AS day", "id"), "day", "id", ["id"]))
+    rows = spark.range(9).selectExpr("id % 2 AS day", "id AS place", "id")
+    text = plan(newest_per_day(rows, "day", "place", ["id"]))
     assert "partial_max_by" in text and "Window" not in text
 
 
+def test_candidates_of_a_day_meet_in_several_tasks(spark):
+    rows = spark.range(0, 4000, 1, 8).selectExpr("id % 2 AS day", "id", "id * 7 % 4001 AS place")
+    spread = newest_per_day(rows, "day", "place", ["id"], ways=3)
+    text = plan(spread)
+    assert re.search(r"hashpartitioning\(day#\w+, way#", text)
+    assert text.count("partial_max_by") == 2
+    assert sorted(map(tuple, spread.collect())) == sorted(
+        map(tuple, newest_per_day(rows, "day", "place", ["id"]).collect())
+    )
+
+
 def test_ranks_are_limited_before_the_shuffle(spark, ten):
     months = period_counts(ten, "close_approach_date", "month")
     assert "WindowGroupLimit" in plan(peak_periods(months))

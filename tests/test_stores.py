@@ -215,6 +215,29 @@ def test_work_tables_go_to_the_named_folder(spark, ten):
     assert rows(kept) == rows(ten, "id")
 
 
+def test_without_a_named_folder(monkeypatch):
+    """A local session makes one of its own; a cluster session is refused."""
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.folder = master, None
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = {}, Context(master)
+
+    alone = Session("local[2]")
+    assert "perigee-" in shared_dir(alone) and shared_dir(alone) == shared_dir(alone)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session("yarn"))
+
+
 def test_long_range_of_days(spark, tmp_path):
     """Several hundred days in one write, one directory each."""
     start = date(2023, 1, 1)

@@ -7,7 +7,7 @@ from feeds import document, land, neo
 from pyspark.sql import functions as F
 
 from perigee.operators.flatten import MALFORMED, flatten_feed
-from perigee.plans.ingest import FeedErrors
+from perigee.plans.ingest import FeedErrors, ingest
 from perigee.sources.feed import read_feed, stream_feed
 from perigee.sources.stores import read_days
 from perigee.streaming.live import run_live
@@ -134,3 +134,20 @@ def test_one_day_with_most_messages(spark, live):
     days = rows(read_days(spark, live.out).groupBy("close_approach_date").agg(F.max("id"), F.count("*")))
     assert days[0] == (date(2024, 1, 1), "3-99", 1)
     assert len(days) == 11 and {n for *_, n in days} == {1}
+
+
+def test_newest_message_of_a_topic_counts(spark, tmp_path):
+    """Messages as a topic gives them: the time decides, then the place in the topic."""
+    from datetime import datetime
+
+    early, late = datetime(2024, 1, 1, 1), datetime(2024, 1, 1, 2)
+    messages = [
+        (day_document(1, 1), (late, 0, 5)),
+        (day_document(1, 2), (early, 1, 900)),
+        (day_document(2, 3), (late, 1, 10)),
+        (day_document(2, 4), (late, 1, 9)),
+    ]
+    kind = "value string, origin struct<timestamp: timestamp, partition: int, offset: bigint>"
+    out = str(tmp_path / "out")
+    assert ingest(spark.createDataFrame(messages, kind).repartition(3), out, str(tmp_path / "errors")) == 0
+    assert rows(read_days(spark, out), "id") == [("1",), ("3",)]
