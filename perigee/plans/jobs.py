@@ -49,6 +49,13 @@ def backfill(
         raise FeedErrors(unusable, errors)
 
 
+def relay(
+    spark: SparkSession, landing: str, publish: Callable[[DataFrame], None], whole_files: bool = False
+) -> None:
+    """Publish landed documents as messages, by way of `publish_topic` or `publish_files` with its target bound."""
+    publish(read_feed(spark, landing, whole_files))
+
+
 def live(
     spark: SparkSession,
     source: str | DataFrame,

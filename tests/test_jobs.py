@@ -1,4 +1,5 @@
 from datetime import date
+from functools import partial
 
 import pytest
 from conftest import TEN_ROWS, approach_frame, rows
@@ -14,6 +15,7 @@ from perigee.plans import jobs
 from perigee.plans.ingest import FeedErrors
 from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS
 from perigee.sinks.days import write_days
+from perigee.sinks.feed import publish_files
 from perigee.sources.stores import read_days, read_union
 
 ALL = {**{name: spec for name, spec in PERIODS.items()}, **{PREFIX + name: spec for name, spec in CLUSTERS.items()}}
@@ -80,10 +82,11 @@ def test_empty_day_has_no_partition(spark, tmp_path):
     assert [p.name for p in (tmp_path / "out/year=2024/month=1").iterdir()] == ["day=2"]
 
 
-def test_live_job(spark, tmp_path):
-    land(tmp_path / "in", "a.json", document({"2024-01-01": [neo(1)]}))
+def test_relay_and_live_job(spark, tmp_path):
+    land(tmp_path / "in", "a.json", document({"2024-01-01": [neo(1)]}), "{}")
+    jobs.relay(spark, str(tmp_path / "in"), partial(publish_files, path=str(tmp_path / "sent")))
     for _ in range(2):
-        jobs.live(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        jobs.live(spark, str(tmp_path / "sent"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
         assert rows(read_days(spark, str(tmp_path / "out")), "id") == [("1",)]
 
 
