@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from perigee.catalog.bindings import LINEITEM_SQL, Query, lineitem_approaches, rounded, table
 from perigee.functions.labels import band, flag_label, horizon_label
 from perigee.operators.profiles import profile
-from perigee.plans.marts import CLUSTER_MARTS, cluster_mart, cluster_mart_from_rollup
-from perigee.plans.rollup import approach_rollup
+from perigee.plans.marts import CLUSTER_MARTS, cluster_mart, cluster_mart_from_parts, cluster_parts
+from perigee.plans.rollup import approach_rollup, rollup_cluster_parts
 
 AS_OF = date(1998, 6, 30)
 
@@ -101,18 +101,27 @@ def _mart(mart):
     return lambda spark, sf_dir: rounded(cluster_mart(mart, lineitem_approaches(spark, sf_dir), AS_OF))
 
 
-def _mart_from_rollup(mart):
+def _mart_from_parts(mart):
     return lambda spark, sf_dir: rounded(
-        cluster_mart_from_rollup(mart, approach_rollup(lineitem_approaches(spark, sf_dir)), AS_OF)
+        cluster_mart_from_parts(mart, cluster_parts(lineitem_approaches(spark, sf_dir), AS_OF))
     )
 
 
+def _mart_from_rollup(mart):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rollup = approach_rollup(lineitem_approaches(spark, sf_dir))
+        return rounded(cluster_mart_from_parts(mart, rollup_cluster_parts(rollup, AS_OF)))
+
+    return run
+
+
 def _mart_queries() -> dict[str, Query]:
     sql = mart_sql(LINEITEM_SQL, AS_OF)
     found = {}
     for path, mart in CLUSTER_MARTS.items():
         name = path.split("/")[1].removeprefix("asteroid_")
         found[f"mart_cluster_{name}"] = Query(_mart(mart), sql[path])
+        found[f"parts_cluster_{name}"] = Query(_mart_from_parts(mart), sql[path])
         found[f"rollup_cluster_{name}"] = Query(_mart_from_rollup(mart), sql[path])
     return found
 

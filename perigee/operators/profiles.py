@@ -31,20 +31,33 @@ def profile(
 
 
 def profile_parts(
-    df: DataFrame, keys: Mapping[str, Column], id_col: str, measures: Mapping[str, str]
+    df: DataFrame,
+    keys: Mapping[str, Column],
+    id_col: str,
+    measures: Mapping[str, str],
+    extremes: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Per group: `row_count`, `id_count`, and `<measure>_sum`, `_count`, `_min`, `_max`."""
+    """Per group: `row_count`, `id_count`, `<measure>_sum`, `_count`, `_min`, `_max`, and `_min`, `_max` of `extremes`."""
     parts = [F.count(F.lit(1)).alias("row_count"), F.count(id_col).alias("id_count")]
     for measure, column in measures.items():
-        parts += [
-            F.sum(column).alias(f"{measure}_sum"),
-            F.count(column).alias(f"{measure}_count"),
-            F.min(column).alias(f"{measure}_min"),
-            F.max(column).alias(f"{measure}_max"),
-        ]
+        parts += [F.sum(column).alias(f"{measure}_sum"), F.count(column).alias(f"{measure}_count")]
+    for measure, column in {**measures, **(extremes or {})}.items():
+        parts += [F.min(column).alias(f"{measure}_min"), F.max(column).alias(f"{measure}_max")]
     return df.groupBy(*(key.alias(name) for name, key in keys.items())).agg(*parts)
 
 
+def merge_parts(parts: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
+    """Parts of coarser groups. Columns that are neither keys nor parts are left out."""
+    how = {"_sum": F.sum, "_count": F.sum, "_min": F.min, "_max": F.max}
+    merged = [
+        how[ending](name).alias(name)
+        for name in parts.columns
+        for ending in how
+        if name.endswith(ending) and name not in keys
+    ]
+    return parts.groupBy(*(key.alias(name) for name, key in keys.items())).agg(*merged)
+
+
 def merge_profile(
     parts: DataFrame,
     keys: Mapping[str, Column],

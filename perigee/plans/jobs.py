@@ -15,10 +15,11 @@ from perigee.plans.marts import (
     APPROACH_MARTS,
     CLUSTER_MARTS,
     KPI_MARTS,
-    cluster_mart_from_rollup,
+    cluster_mart_from_parts,
+    cluster_parts,
     day_counts,
 )
-from perigee.plans.rollup import approach_rollup
+from perigee.plans.rollup import approach_rollup, rollup_cluster_parts
 from perigee.schema import APPROACH_COLUMNS, STORE_PARTITIONS
 from perigee.session import work_table
 from perigee.sinks.days import write_partitions
@@ -28,6 +29,7 @@ from perigee.sources.stores import read_days, read_union
 from perigee.streaming.live import run_live
 
 MARTS_AT_ONCE = 4
+ONE_TASK_ROWS = 1_000_000
 
 
 def backfill(
@@ -97,17 +99,21 @@ def rollup(
     write_partitions(parts, out, STORE_PARTITIONS, replace_all=start is None and end is None)
 
 
-def _stored_days(days: DataFrame) -> DataFrame:
-    """Day counts as a small stored table, read by one task."""
-    return work_table(days, "days").coalesce(1)
+def _stored(summary: DataFrame, name: str) -> DataFrame:
+    """A summary (day counts or cluster parts) as a stored table.
+
+    If it is as small as expected, it is read by one task, and marts taken from it shuffle nothing.
+    """
+    table = work_table(summary, name)
+    return table.coalesce(1) if table.count() <= ONE_TASK_ROWS else table
 
 
 def _period_marts(marts: Mapping[str, Callable[[DataFrame], DataFrame]], days: DataFrame) -> dict[str, DataFrame]:
     return {name: build(days) for name, build in marts.items()}
 
 
-def _cluster_marts(parts: DataFrame, as_of: date | None) -> dict[str, DataFrame]:
-    return {name: cluster_mart_from_rollup(mart, parts, as_of) for name, mart in CLUSTER_MARTS.items()}
+def _cluster_marts(parts: DataFrame) -> dict[str, DataFrame]:
+    return {name: cluster_mart_from_parts(mart, parts) for name, mart in CLUSTER_MARTS.items()}
 
 
 def _write_marts(marts: Mapping[str, DataFrame], out: str) -> None:
@@ -119,19 +125,19 @@ def _write_marts(marts: Mapping[str, DataFrame], out: str) -> None:
 
 def approach_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The six marts on how often approaches happen, from one scan."""
-    days = _stored_days(day_counts(read_union(spark, union_table)))
+    days = _stored(day_counts(read_union(spark, union_table)), "days")
     _write_marts(_period_marts(APPROACH_MARTS, days), out)
 
 
 def cluster_marts(spark: SparkSession, union_table: str, out: str, as_of: date | None = None) -> None:
     """The four profiles of the objects, from one scan."""
-    parts = work_table(approach_rollup(read_union(spark, union_table)), "parts")
-    _write_marts(_cluster_marts(parts, as_of), out)
+    parts = _stored(cluster_parts(read_union(spark, union_table), as_of), "parts")
+    _write_marts(_cluster_marts(parts), out)
 
 
 def kpi_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The seven KPIs, from one scan."""
-    days = _stored_days(day_counts(read_union(spark, union_table)))
+    days = _stored(day_counts(read_union(spark, union_table)), "days")
     _write_marts(_period_marts(KPI_MARTS, days), out)
 
 
@@ -152,11 +158,12 @@ def daily(
     """
     union(spark, hist, live, f"{out}/union", start, end)
     rollup(spark, f"{out}/union", f"{out}/rollup", start, end)
-    parts = spark.read.parquet(f"{out}/rollup")
-    days = _stored_days(day_counts(parts, weight="row_count"))
+    summary = spark.read.parquet(f"{out}/rollup")
+    days = _stored(day_counts(summary, weight="row_count"), "days")
+    parts = _stored(rollup_cluster_parts(summary, as_of), "parts")
     marts = {
         **_period_marts(APPROACH_MARTS, days),
-        **_cluster_marts(parts, as_of),
+        **_cluster_marts(parts),
         **_period_marts(KPI_MARTS, days),
     }
     _write_marts(marts, out)

@@ -1,7 +1,8 @@
 """The 17 marts.
 
 Period marts start from day counts, so one scan of the date column serves all 13 of them.
-Cluster marts start from approach rows, or from the rollup, where one scan serves all four.
+Cluster marts start from approach rows, or from parts by all labels, so that one scan serves
+all four.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from perigee.operators.periods import (
     top_period,
     total_count,
 )
-from perigee.operators.profiles import merge_profile, profile
+from perigee.operators.profiles import merge_profile, profile, profile_parts
 
 # Measured columns, band edges and names, and labels.
 DATE = "close_approach_date"
@@ -33,6 +34,7 @@ MEASURES = {
     "miss_distance": "miss_distance_astronomical",
     "absolute_magnitude": "absolute_magnitude_h",
 }
+EXTREMES = {"approach": DATE}
 BANDS = {
     "size_cluster": ("diameter", 1, 5, ("Small", "Medium", "Large")),
     "velocity_cluster": ("velocity", 10, 25, ("Slow", "Moderate", "Fast")),
@@ -64,8 +66,8 @@ def band_labels() -> dict[str, Column]:
 def day_counts(approaches: DataFrame, weight: str | None = None) -> DataFrame:
     """Day-grain period table of approach rows, or of the rollup with its `row_count` as weight.
 
-    The counting is spread as usual; its result, one row per day, then goes to one partition,
-    where coarser groupings and windows need no further shuffle.
+    The counting is spread as usual; its result, one row per calendar day, then goes to one
+    partition, where coarser groupings and windows need no further shuffle.
     """
     return period_counts(approaches, DATE, "day", weight).repartition(1)
 
@@ -203,15 +205,19 @@ def _in_order(df: DataFrame, mart: ClusterMart) -> DataFrame:
     return df.select(*mart.keys, OBJECTS, *summaries).orderBy(*mart.keys)
 
 
-def cluster_mart(mart: ClusterMart, approaches: DataFrame, as_of: date | None = None) -> DataFrame:
-    """A cluster mart straight from approach rows."""
-    labels = {
+def cluster_labels(as_of: date | None) -> dict[str, Column]:
+    return {
         "hazard_cluster": hazard_label(),
         "approach_cluster": approach_label(as_of),
-        "orbiting_body": F.col("orbiting_body"),
         **band_labels(),
+        "orbiting_body": F.col("orbiting_body"),
     }
-    columns = {**MEASURES, "approach": DATE}
+
+
+def cluster_mart(mart: ClusterMart, approaches: DataFrame, as_of: date | None = None) -> DataFrame:
+    """A cluster mart straight from approach rows."""
+    labels = cluster_labels(as_of)
+    columns = {**MEASURES, **EXTREMES}
 
     def named(summaries: Mapping[str, str]) -> dict[str, str]:
         return {name: columns[measure] for name, measure in summaries.items()}
@@ -223,12 +229,12 @@ def cluster_mart(mart: ClusterMart, approaches: DataFrame, as_of: date | None =
     return _in_order(summary, mart)
 
 
-def cluster_mart_from_rollup(mart: ClusterMart, rollup: DataFrame, as_of: date | None = None) -> DataFrame:
-    """The same mart from the rollup, which holds all labels but the horizon (it moves with `as_of`)."""
-    parts = rollup.withColumns({"approach_min": F.col(DATE), "approach_max": F.col(DATE)})
-    keys = {
-        name: approach_label(as_of) if label == "approach_cluster" else F.col(label)
-        for name, label in mart.keys.items()
-    }
-    summary = merge_profile(parts, keys, OBJECTS, mart.averages, mart.minima, mart.maxima)
-    return _in_order(summary, mart)
+def cluster_parts(approaches: DataFrame, as_of: date | None = None) -> DataFrame:
+    """Parts by all labels at once: at most 324 label combinations for each orbiting body."""
+    return profile_parts(approaches, cluster_labels(as_of), "id", MEASURES, EXTREMES)
+
+
+def cluster_mart_from_parts(mart: ClusterMart, parts: DataFrame) -> DataFrame:
+    """The same mart from `cluster_parts`, so that one scan serves all four."""
+    keys = {name: F.col(label) for name, label in mart.keys.items()}
+    return _in_order(merge_profile(parts, keys, OBJECTS, mart.averages, mart.minima, mart.maxima), mart)

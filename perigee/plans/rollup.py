@@ -8,21 +8,26 @@ orbiting body.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.operators.profiles import profile_parts
-from perigee.plans.marts import DATE, MEASURES, band_labels, hazard_label
+from perigee.operators.profiles import merge_parts, profile_parts
+from perigee.plans.marts import DATE, MEASURES, approach_label, cluster_labels
+
+MOVING = "approach_cluster"
 
 
 def approach_rollup(approaches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Parts of every profile; `by` adds columns to group by, such as the partitions to keep apart."""
-    keys = {
-        **{name: F.col(name) for name in by},
-        DATE: F.col(DATE),
-        "hazard_cluster": hazard_label(),
-        **band_labels(),
-        "orbiting_body": F.col("orbiting_body"),
-    }
+    labels = {name: label for name, label in cluster_labels(None).items() if name != MOVING}
+    keys = {**{name: F.col(name) for name in by}, DATE: F.col(DATE), **labels}
     return profile_parts(approaches, keys, "id", MEASURES)
+
+
+def rollup_cluster_parts(rollup: DataFrame, as_of: date | None = None) -> DataFrame:
+    """What `cluster_parts` gives for the rows behind the rollup."""
+    dated = rollup.withColumns({"approach_min": F.col(DATE), "approach_max": F.col(DATE)})
+    keys = {name: F.col(name) for name in cluster_labels(as_of)}
+    return merge_parts(dated.withColumn(MOVING, approach_label(as_of)), keys)

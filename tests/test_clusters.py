@@ -3,8 +3,8 @@ from datetime import date
 import pytest
 from conftest import approach_frame, expected, rows
 
-from perigee.plans.marts import CLUSTER_MARTS, cluster_mart, cluster_mart_from_rollup
-from perigee.plans.rollup import approach_rollup
+from perigee.plans.marts import CLUSTER_MARTS, cluster_mart, cluster_mart_from_parts, cluster_parts
+from perigee.plans.rollup import approach_rollup, rollup_cluster_parts
 
 AS_OF = date(2024, 3, 31)
 D = date
@@ -89,17 +89,24 @@ def test_cluster_mart(ten, name):
 
 
 @pytest.mark.parametrize("name", list(MARTS))
-def test_cluster_mart_from_rollup(ten, name):
+def test_cluster_mart_from_parts(ten, name):
     columns, values = MARTS[name]
-    mart = cluster_mart_from_rollup(CLUSTER_MARTS[PREFIX + name], approach_rollup(ten), AS_OF)
-    assert rows(mart, *columns) == expected(values)
+    for parts in (cluster_parts(ten, AS_OF), rollup_cluster_parts(approach_rollup(ten), AS_OF)):
+        mart = cluster_mart_from_parts(CLUSTER_MARTS[PREFIX + name], parts)
+        assert rows(mart, *columns) == expected(values)
 
 
 def test_rollups_of_parts_add_up(ten):
     """Rollups taken separately and put together give the same marts."""
     both = approach_rollup(ten.filter("id < 5")).unionByName(approach_rollup(ten.filter("NOT id < 5 OR id IS NULL")))
+    parts = rollup_cluster_parts(both, AS_OF)
     for name, (columns, values) in MARTS.items():
-        assert rows(cluster_mart_from_rollup(CLUSTER_MARTS[PREFIX + name], both, AS_OF), *columns) == expected(values)
+        assert rows(cluster_mart_from_parts(CLUSTER_MARTS[PREFIX + name], parts), *columns) == expected(values)
+
+
+def test_rollup_gives_the_same_parts(ten):
+    direct = cluster_parts(ten, AS_OF)
+    assert rows(rollup_cluster_parts(approach_rollup(ten), AS_OF), *direct.columns) == rows(direct)
 
 
 def test_horizon_moves_with_the_date(spark):

@@ -13,8 +13,17 @@ from pyspark.sql import functions as F
 from perigee.operators.days import newest_per_day
 from perigee.operators.flatten import flatten_feed
 from perigee.operators.periods import peak_periods, period_counts, top_period
-from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS, cluster_mart, day_counts
+from perigee.plans.marts import (
+    APPROACH_MARTS,
+    CLUSTER_MARTS,
+    KPI_MARTS,
+    cluster_mart,
+    cluster_mart_from_parts,
+    cluster_parts,
+    day_counts,
+)
 from perigee.plans.rollup import approach_rollup
+from perigee.session import work_table
 from perigee.sinks.days import write_days
 from perigee.sources.stores import read_days
 
@@ -55,9 +64,18 @@ def test_cluster_marts_read_what_they_summarize(spark, store):
         assert "partial_count" in text
 
 
-def test_rollup_reads_once(spark, store):
-    (columns,) = read_columns(plan(approach_rollup(read_days(spark, store))))
-    assert len(columns) == 8
+def test_rollup_and_parts_read_once(spark, store):
+    for summary in (approach_rollup, cluster_parts):
+        (columns,) = read_columns(plan(summary(read_days(spark, store))))
+        assert len(columns) == 8
+
+
+def test_marts_from_stored_summaries_shuffle_nothing(spark, store):
+    days = work_table(day_counts(read_days(spark, store)), "days").coalesce(1)
+    parts = work_table(cluster_parts(read_days(spark, store)), "parts").coalesce(1)
+    marts = [build(days) for build in {**APPROACH_MARTS, **KPI_MARTS}.values()]
+    marts += [cluster_mart_from_parts(mart, parts) for mart in CLUSTER_MARTS.values()]
+    assert not any("Exchange" in plan(mart) for mart in marts)
 
 
 def test_day_range_prunes_partitions(spark, store):
