@@ -172,16 +172,15 @@ def _counts_sql(grain: str) -> str:
 
 
 def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days without a large order, between the first and the last of them."""
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 200000)
-    counts = period_counts(orders, "o_orderdate", "day")
+    """Days without an order, between the first and the last order."""
+    counts = _orders(spark, sf_dir, "day")
     span = counts.agg(F.min("period").alias("first"), F.max("period").alias("last"))
     days = span.select(F.explode(day_sequence(F.col("first"), F.col("last"))).alias("day"))
     return missing_days(days, counts)
 
 
 _GAPS_SQL = """
-WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_totalprice > 200000),
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders),
      days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS "day" FROM o)
 SELECT "day" FROM days WHERE "day" NOT IN (SELECT d FROM o)
 """

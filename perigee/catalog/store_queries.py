@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,6 @@ from perigee.catalog.bindings import (
 from perigee.operators.days import newest_per_day
 from perigee.operators.union import union_stores
 from perigee.plans import jobs
-from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS
 from perigee.schema import APPROACH_COLUMNS
 from perigee.session import work_dir
 from perigee.sinks.days import write_days
@@ -41,10 +41,6 @@ NEW_START = date(2024, 1, 26)
 AS_OF = date(2023, 12, 15)
 
 
-def _day(column: str = "feed_date"):
-    return F.col(column)
-
-
 # --- union ----------------------------------------------------------------------------------
 
 
@@ -71,7 +67,7 @@ def _day_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events_approaches(spark, sf_dir)
     root = work_dir(spark, "day_store")
     write_days(rows, root)
-    write_days(rows.filter(_day() >= F.lit(NEW_START)), root)
+    write_days(rows.filter(F.col("feed_date") >= F.lit(NEW_START)), root)
     return read_days(spark, root)
 
 
@@ -101,7 +97,7 @@ def _land(spark: SparkSession, sf_dir: str, landing: str) -> None:
     rows = spread(events_approaches(spark, sf_dir)).withColumn("event", F.col("id").cast("bigint"))
     last = newest_per_day(rows, "feed_date", "event", APPROACH_COLUMNS)
     for published in (rows, last):
-        publish_files(documents(published, as_document(_day())), landing)
+        publish_files(documents(published, as_document(F.col("feed_date"))), landing)
 
 
 def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,10 +141,10 @@ SELECT '{"id":"' || event_id || '","name":"' || event_type || '"}' AS value FROM
 
 def _stores(spark: SparkSession, sf_dir: str, root: str, live_end: date | None = None) -> tuple[str, str]:
     rows = events_approaches(spark, sf_dir)
-    newer = rows.filter(_day() >= F.lit(LIVE_START))
+    newer = rows.filter(F.col("feed_date") >= F.lit(LIVE_START))
     if live_end:
-        newer = newer.filter(_day() <= F.lit(live_end))
-    write_days(rows.filter(_day() <= F.lit(HIST_END)), f"{root}/hist")
+        newer = newer.filter(F.col("feed_date") <= F.lit(live_end))
+    write_days(rows.filter(F.col("feed_date") <= F.lit(HIST_END)), f"{root}/hist")
     write_days(newer, f"{root}/live")
     return f"{root}/hist", f"{root}/live"
 
@@ -167,62 +163,71 @@ def _union_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_union(spark, f"{root}/union")
 
 
+# What identifies a row of each mart, its count, and one more number to compare if it has one.
+_APPROACH, _KPI, _CLUSTER = "close-approach-analysis", "kpi", "clustering-based-analysis"
+MART_COLUMNS = {
+    f"{_APPROACH}/asteroid_monthly_average_close_approaches": (
+        ("Month",),
+        "Close_Approaches_Count",
+        "Avg_Monthly_Approaches",
+    ),
+    f"{_APPROACH}/asteroid_yearly_average_close_approaches": (("Year",), "Total_Approaches", "Avg_Yearly_Approaches"),
+    f"{_APPROACH}/asteroid_monthly_no_close_approaches": (("Month",), "Total_Approaches", None),
+    f"{_APPROACH}/asteroid_yearly_no_close_approach": (("Year",), "Total_Approaches", None),
+    f"{_APPROACH}/asteroid_monthly_trend_analysis": (("Month",), "Total_Approaches", "MoM_Change"),
+    f"{_APPROACH}/asteroid_yearly_trend": (("Year",), "Total_Approaches", "YoY_Change"),
+    f"{_KPI}/total_close_approaches": ((), "Total_Close_Approaches", None),
+    f"{_KPI}/monthly_avg_close_approaches": (("Month",), "Close_Approaches_Count", "Avg_Monthly_Close_Approaches"),
+    f"{_KPI}/yearly_avg_close_approaches": (("Year",), "Close_Approaches_Count", "Avg_Yearly_Close_Approaches"),
+    f"{_KPI}/peak_month": (("Month",), "Close_Approaches_Count", None),
+    f"{_KPI}/peak_year": (("Year",), "Close_Approaches_Count", None),
+    f"{_KPI}/monthly_change": (("Month",), "Close_Approaches_Count", "Month_Change"),
+    f"{_KPI}/yearly_change": (("Year",), "Close_Approaches_Count", "Year_Change"),
+    f"{_CLUSTER}/asteroid_hazardous_close_approach_clusters": (
+        ("hazard_cluster", "approach_cluster"),
+        "num_asteroids",
+        None,
+    ),
+    f"{_CLUSTER}/asteroid_size_velocity_cluster": (("size_cluster", "velocity_cluster"), "num_asteroids", "avg_velocity"),
+    f"{_CLUSTER}/asteroid_distance_orbit_body_clusters": (
+        ("orbiting_body", "distance_cluster"),
+        "num_asteroids",
+        "avg_miss_distance",
+    ),
+    f"{_CLUSTER}/clustered_asteroids_by_magnitude_and_diameter": (
+        ("magnitude_cluster", "diameter_cluster"),
+        "num_asteroids",
+        "avg_absolute_magnitude",
+    ),
+}
+
+
 def _mart_rows(spark: SparkSession, out: str) -> DataFrame:
-    """All marts in one table: name, group, count, and the last number of the row if there is one."""
-    found = []
-    for name in (*APPROACH_MARTS, *KPI_MARTS, *CLUSTER_MARTS):
-        mart = spark.read.parquet(f"{out}/{name}")
-        if name in CLUSTER_MARTS:
-            keys, n = mart.columns[:2], "num_asteroids"
-        else:
-            keys, n = mart.columns[:-1][:1], mart.columns[min(1, len(mart.columns) - 1)]
-        last = mart.columns[-1]
-        number = F.lit(None).cast("double") if last == n or last == "last_approach" else F.col(last).cast("double")
-        found.append(
-            mart.select(
-                F.lit(name).alias("mart"),
-                F.concat_ws("|", *(F.col(key).cast("string") for key in keys)).alias("label"),
-                F.col(n).alias("n"),
-                F.round(number, 6).alias("number"),
-            )
+    """All marts in one table: name, row label, count, and the other number."""
+
+    def picked(name: str) -> DataFrame:
+        labels, n, number = MART_COLUMNS[name]
+        other = F.col(number) if number else F.lit(None)
+        return spark.read.parquet(f"{out}/{name}").select(
+            F.lit(name).alias("mart"),
+            F.concat_ws("|", *(F.col(label).cast("string") for label in labels)).alias("label"),
+            F.col(n).alias("n"),
+            F.round(other.cast("double"), 6).alias("number"),
         )
-    rows = found[0]
-    for other in found[1:]:
-        rows = rows.unionByName(other)
-    return rows
+
+    return reduce(DataFrame.unionByName, map(picked, MART_COLUMNS))
 
 
 def _mart_rows_sql() -> str:
-    parts = []
-    for name, sql in period_queries.mart_sql(_STORES_SQL).items():
-        period = "Month" if "month" in name else "Year"
-        kind = name.split("/")[0]
-        n = "Total_Approaches" if "Total_Approaches" in sql else "Close_Approaches_Count"
-        last = next((c for c in sql.replace(",", " ").split() if c.startswith("Avg_") or c.endswith("_Change")), None)
-        if name == "kpi/total_close_approaches":
-            label, n = "''", "Total_Close_Approaches"
-        else:
-            label = f"CAST({period} AS VARCHAR)"
-        assert kind in ("close-approach-analysis", "kpi")
-        parts.append((name, label, n, f"round(CAST({last} AS DOUBLE), 6)" if last else "CAST(NULL AS DOUBLE)", sql))
-    labels = {
-        "asteroid_hazardous_close_approach_clusters": ("hazard_cluster", "approach_cluster", None),
-        "asteroid_size_velocity_cluster": ("size_cluster", "velocity_cluster", "max_velocity"),
-        "asteroid_distance_orbit_body_clusters": ("orbiting_body", "distance_cluster", "max_miss_distance"),
-        "clustered_asteroids_by_magnitude_and_diameter": (
-            "magnitude_cluster",
-            "diameter_cluster",
-            "max_absolute_magnitude",
-        ),
-    }
-    for name, sql in cluster_queries.mart_sql(_STORES_SQL, AS_OF).items():
-        first, second, last = labels[name.split("/")[1]]
-        number = f"round({last}, 6)" if last else "CAST(NULL AS DOUBLE)"
-        parts.append((name, f"{first} || '|' || {second}", "num_asteroids", number, sql))
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS mart, {label} AS label, {n} AS n, {number} AS number FROM ({sql}) AS s{i}"
-        for i, (name, label, n, number, sql) in enumerate(parts)
-    )
+    sql = {**period_queries.mart_sql(_STORES_SQL), **cluster_queries.mart_sql(_STORES_SQL, AS_OF)}
+
+    def picked(name: str) -> str:
+        labels, n, number = MART_COLUMNS[name]
+        label = " || '|' || ".join(f"CAST({label} AS VARCHAR)" for label in labels) or "''"
+        other = f"round(CAST({number} AS DOUBLE), 6)" if number else "CAST(NULL AS DOUBLE)"
+        return f"SELECT '{name}' AS mart, {label} AS label, {n} AS n, {other} AS number FROM ({sql[name]}) AS s"
+
+    return " UNION ALL ".join(map(picked, MART_COLUMNS))
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,7 +241,7 @@ def _daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "refresh")
     hist, live = _stores(spark, sf_dir, root, live_end=NEW_START - timedelta(days=1))
     jobs.daily(spark, hist, live, f"{root}/out", AS_OF)
-    write_days(events_approaches(spark, sf_dir).filter(_day() >= F.lit(NEW_START)), live)
+    write_days(events_approaches(spark, sf_dir).filter(F.col("feed_date") >= F.lit(NEW_START)), live)
     jobs.daily(spark, hist, live, f"{root}/out", AS_OF, start=NEW_START)
     return _mart_rows(spark, f"{root}/out")
 
