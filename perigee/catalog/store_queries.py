@@ -188,7 +188,11 @@ MART_COLUMNS = {
         "num_asteroids",
         None,
     ),
-    f"{_CLUSTER}/asteroid_size_velocity_cluster": (("size_cluster", "velocity_cluster"), "num_asteroids", "avg_velocity"),
+    f"{_CLUSTER}/asteroid_size_velocity_cluster": (
+        ("size_cluster", "velocity_cluster"),
+        "num_asteroids",
+        "avg_velocity",
+    ),
     f"{_CLUSTER}/asteroid_distance_orbit_body_clusters": (
         ("orbiting_body", "distance_cluster"),
         "num_asteroids",

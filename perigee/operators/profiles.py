@@ -37,7 +37,7 @@ def profile_parts(
     measures: Mapping[str, str],
     extremes: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Per group: `row_count`, `id_count`, `<measure>_sum`, `_count`, `_min`, `_max`, and `_min`, `_max` of `extremes`."""
+    """Per group: `row_count`, `id_count`, `<measure>_sum`, `_count`, `_min`, `_max`; of `extremes` the last two."""
     parts = [F.count(F.lit(1)).alias("row_count"), F.count(id_col).alias("id_count")]
     for measure, column in measures.items():
         parts += [F.sum(column).alias(f"{measure}_sum"), F.count(column).alias(f"{measure}_count")]

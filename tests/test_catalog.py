@@ -7,7 +7,10 @@ import pytest
 
 import __spark_entry__ as entry_point
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+)
 DATA = Path("/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not DATA.is_dir(), reason="test tables are not here")

@@ -45,7 +45,8 @@ def assert_marts(spark, out, names):
 
 
 def test_backfill_takes_the_days_asked_for(spark, tmp_path):
-    land(tmp_path / "in", "a.json", *(document({f"2024-01-{d:02d}": [neo(d, f"2024-01-{d:02d}")]}) for d in range(1, 10)))
+    days = [f"2024-01-{d:02d}" for d in range(1, 10)]
+    land(tmp_path / "in", "a.json", *(document({day: [neo(int(day[-2:]), day)]}) for day in days))
     for _ in range(2):
         jobs.backfill(spark, str(tmp_path / "in"), str(tmp_path / "out"), date(2024, 1, 3), date(2024, 1, 5))
         assert rows(read_days(spark, str(tmp_path / "out")), "id") == [("3",), ("4",), ("5",)]

@@ -89,7 +89,13 @@ def _plain_file(root, day, **changes):
     values.update({name: [value] for name, value in changes.items()})
     path = root / f"{day.year}/{day.month:02d}/{day.day:02d}.parquet"
     path.parent.mkdir(parents=True, exist_ok=True)
-    kinds = {"string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "date": pa.string(), "bigint": pa.int64()}
+    kinds = {
+        "string": pa.string(),
+        "double": pa.float64(),
+        "boolean": pa.bool_(),
+        "date": pa.string(),
+        "bigint": pa.int64(),
+    }
     arrays = {}
     for field in APPROACH_SCHEMA:
         value = values[field.name]
