@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.code import ship_code
-from perigee.llm.words import combine, mix, separated_by, slices, word_hashes
+from perigee.llm.filters import contains, signed, value_filter
+from perigee.llm.words import combine, separated_by, slices, word_hashes
 from perigee.session import work_table
 
 WINDOW = 10
@@ -34,50 +35,6 @@ def _shingles(words: np.ndarray, size: int) -> np.ndarray:
     return combine(*(words[i : len(words) - size + 1 + i] for i in range(size)))
 
 
-def _probes(tokens: np.ndarray) -> Iterator[np.ndarray]:
-    for salt in (1, 2):
-        yield (mix(tokens + np.uint64(salt)) >> np.uint64(64 - FILTER_BITS.bit_length() + 1)).astype(np.int64)
-
-
-def _token_filter(tokens: DataFrame) -> Broadcast:
-    """A Bloom filter of the column `token`, put together by Spark one 64-bit word at a time."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places = np.unique(np.concatenate(list(_probes(_unsigned(batch.column(0))))))
-            words = np.zeros(FILTER_BITS // 64, dtype=np.uint64)
-            np.bitwise_or.at(words, places // 64, np.uint64(1) << (places % 64).astype(np.uint64))
-            some = np.flatnonzero(words)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int64()), pa.array(words[some].view(np.int64), pa.int64())], names=["word", "bits"]
-            )
-
-    spark = tokens.sparkSession
-    rows = (
-        tokens.select("token").mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits")).collect()
-    )
-    words = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for word, value in rows:
-        words[word] = value
-    # As bytes, one bit each: bit i of the filter is bit i % 8 of byte i // 8.
-    return spark.sparkContext.broadcast(words.view(np.uint8))
-
-
-def _unsigned(column: pa.Array) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-
-
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64), pa.int64())
-
-
-def _found(held: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(tokens), dtype=bool)
-    for places in _probes(tokens):
-        ok &= (held[places >> 3] >> (places & 7)) & 1 == 1
-    return ok
-
-
 def _positions(words: np.ndarray, offsets: np.ndarray, sizes: tuple[int, ...], held: np.ndarray):
     """Shingles of the texts that pass the filter: token, its place among the words, its text's row."""
     tokens, places = [], []
@@ -85,7 +42,7 @@ def _positions(words: np.ndarray, offsets: np.ndarray, sizes: tuple[int, ...], h
     for size in sizes:
         if len(words) >= size:
             token = _shingles(words, size)
-            ok = np.flatnonzero(_found(held, token))
+            ok = np.flatnonzero(contains(held, token))
             ok = ok[ok + size <= ends[ok]]
             tokens.append(token[ok])
             places.append(ok)
@@ -123,7 +80,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(rows)),
-                            _signed(np.concatenate(names)),
+                            signed(np.concatenate(names)),
                             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat),
                         ],
                         names=["item_id", "window", "words"],
@@ -151,7 +108,7 @@ def window_shingles(windows: DataFrame) -> DataFrame:
                 taken = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(taken), batch.column(1).take(taken)]
-                    + [_signed(np.concatenate(tokens)), pa.array(offsets, pa.int32())],
+                    + [signed(np.concatenate(tokens)), pa.array(offsets, pa.int32())],
                     names=["window", "words", "token", "offset"],
                 )
 
@@ -169,7 +126,7 @@ def count_tokens(docs: DataFrame, held: Broadcast, sizes: tuple[int, ...]) -> Da
                 tokens, counts = np.unique(_positions(words, offsets, sizes, held.value)[0], return_counts=True)
                 if len(tokens):
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(tokens), pa.array(counts, pa.int64())], names=["token", "n"]
+                        [signed(tokens), pa.array(counts, pa.int64())], names=["token", "n"]
                     )
 
     return docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
@@ -196,10 +153,10 @@ def prefix_positions(docs: DataFrame, held: Broadcast, sizes: tuple[int, ...]) -
                 around = words[np.arange(ends[-1]) - np.repeat(ends[:-1] - low, length)]
                 hits = pa.StructArray.from_arrays(
                     [
-                        _signed(tokens),
+                        signed(tokens),
                         pa.array(places - offsets[owner], pa.int64()),
                         pa.array(places - low, pa.int32()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), _signed(around)),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), signed(around)),
                     ],
                     names=["token", "place", "lead", "around"],
                 )
@@ -236,7 +193,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFr
     shingles = work_table(window_shingles(distinct), "leak-shingles")
     lengths = [row[0] for row in shingles.select(F.least(F.size("words"), F.lit(SHINGLE))).distinct().collect()]
     sizes = tuple(sorted(lengths))
-    counts = count_tokens(docs, _token_filter(shingles.select("token").distinct()), sizes)
+    counts = count_tokens(docs, value_filter(shingles.select("token").distinct(), FILTER_BITS), sizes)
     rarest = F.min_by(
         F.struct("token", "offset", "words"), F.struct(F.coalesce(F.col("n"), F.lit(0)), F.col("token"), F.col("offset"))
     )
@@ -244,7 +201,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFr
     prefixes = work_table(prefixes, "leak-prefixes")
     keyed = docs.select(document_key().alias("key"), "text")
     scanned = work_table(
-        prefix_positions(keyed, _token_filter(prefixes.select("token").distinct()), sizes), "leak-positions"
+        prefix_positions(keyed, value_filter(prefixes.select("token").distinct(), FILTER_BITS), sizes), "leak-positions"
     )
     start, length = F.col("place") - F.col("offset"), F.size("words")
     first = F.col("lead") - F.col("offset")

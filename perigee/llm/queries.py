@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from perigee.llm.chat import OP10_SQL, op10_chat
 from perigee.llm.decontaminate import OP8_SQL, op8_decontaminate
+from perigee.llm.jaccard import OP3_SQL, op3_near_documents
 from perigee.llm.language import op2_language
 from perigee.llm.mixing import OP1_SQL, op1_mix
 from perigee.llm.pages import op7_pages
@@ -12,6 +13,7 @@ from perigee.llm.quality import OP5_SQL, op5_quality
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_language": op2_language,
+    "op3_near_documents": op3_near_documents,
     "op5_quality": op5_quality,
     "op7_pages": op7_pages,
     "op8_decontaminate": op8_decontaminate,
@@ -20,6 +22,7 @@ QUERIES = {
 
 SQL = {
     "op1_mix": OP1_SQL,
+    "op3_near_documents": OP3_SQL,
     "op5_quality": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
     "op10_chat": OP10_SQL,
