@@ -6,6 +6,7 @@ from perigee.llm.chat import OP10_SQL, op10_chat
 from perigee.llm.decontaminate import OP8_SQL, op8_decontaminate
 from perigee.llm.jaccard import OP3_SQL, op3_near_documents
 from perigee.llm.language import op2_language
+from perigee.llm.lines import op9_lines
 from perigee.llm.mixing import OP1_SQL, op1_mix
 from perigee.llm.pages import op7_pages
 from perigee.llm.quality import OP5_SQL, op5_quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op7_pages": op7_pages,
     "op8_decontaminate": op8_decontaminate,
+    "op9_lines": op9_lines,
     "op10_chat": op10_chat,
 }
 
