@@ -10,11 +10,13 @@ from perigee.llm.lines import op9_lines
 from perigee.llm.mixing import OP1_SQL, op1_mix
 from perigee.llm.pages import op7_pages
 from perigee.llm.quality import OP5_SQL, op5_quality
+from perigee.llm.scoring import op4_score
 
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_language": op2_language,
     "op3_near_documents": op3_near_documents,
+    "op4_score": op4_score,
     "op5_quality": op5_quality,
     "op7_pages": op7_pages,
     "op8_decontaminate": op8_decontaminate,
