@@ -9,6 +9,7 @@ from perigee.llm.language import op2_language
 from perigee.llm.lines import op9_lines
 from perigee.llm.mixing import OP1_SQL, op1_mix
 from perigee.llm.pages import op7_pages
+from perigee.llm.private import op6_private
 from perigee.llm.quality import OP5_SQL, op5_quality
 from perigee.llm.scoring import op4_score
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_near_documents": op3_near_documents,
     "op4_score": op4_score,
     "op5_quality": op5_quality,
+    "op6_private": op6_private,
     "op7_pages": op7_pages,
     "op8_decontaminate": op8_decontaminate,
     "op9_lines": op9_lines,
