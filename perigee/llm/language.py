@@ -157,7 +157,7 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     limits = totals.withColumn("limit", F.ceil(share * F.lit(float(1 << 30)))).select("lang", "limit")
     sample = (
         docs.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
-        .join(limits, "lang")
+        .join(F.broadcast(limits), "lang")  # one row per language; the model has as many
         .filter(F.col("draw") < F.col("limit"))
         .select("lang", "text")
     )
