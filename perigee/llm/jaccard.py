@@ -295,22 +295,29 @@ def _block_links(rows) -> list[tuple[int, int]]:
 def open_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between the components that still meet in a bucket.
 
-    Buckets of two have been settled by their only pair. The others are cut into blocks of about equal numbers of
-    elements; every two blocks of a bucket make a task's work, whatever the size of the bucket.
+    Buckets of two have been settled by their only pair. Sets that meet in the others, one way or another,
+    make a group, so that a set is compared once and not in each of its buckets. A group is cut into
+    blocks of about equal numbers of elements; every two blocks make a task's work, whatever the size of the group.
     """
-    small = sets.select("node", "n")
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    labelled = labelled.join(small, "node").select("key", "node", "label", "n")
     buckets = labelled.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum("n").alias("total")
+        F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")
     )
-    buckets = buckets.filter("size > 2 AND low != high").select(
-        "key", F.ceil(F.col("total") / F.lit(BLOCK_ELEMENTS)).cast("int").alias("blocks")
+    still_open = labelled.join(buckets.filter("size > 2 AND low != high").select("key"), "key", "left_semi")
+    meetings = still_open.filter("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    groups = connected_components(meetings).withColumnRenamed("component", "group")
+    placed = (
+        groups.join(labels, "node", "left")
+        .join(sets.select("node", "n"), "node")
+        .select("group", "node", "n", F.coalesce("component", "node").alias("label"))
     )
-    placed = labelled.join(buckets, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = work_table(placed, "near-open")
+    blocks = placed.groupBy("group").agg(F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    placed = placed.drop("n").join(blocks, "group")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     tiles = placed.select("*", other).select(
-        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "label"
+        "group", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "node", "label"
     )
     full = tiles.join(sets, "node")
 
@@ -318,7 +325,7 @@ def open_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
         links = _block_links(rows)
         return type(rows)({"a": [x for x, _ in links], "b": [y for _, y in links]}, dtype="int64")
 
-    return full.groupBy("key", "x", "y").applyInPandas(compare, "a long, b long").distinct()
+    return full.groupBy("group", "x", "y").applyInPandas(compare, "a long, b long").distinct()
 
 
 def document_key():
