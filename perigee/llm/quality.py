@@ -123,8 +123,8 @@ def with_parts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumns({"__words": words_of(F.col(text)), "__lines": lines_of(F.col(text))})
 
 
-def _fails(rule: Rule) -> Column:
-    return F.coalesce(rule.fails(F.col("text"), F.col("__words"), F.col("__lines")), F.lit(False))
+def _fails(rule: Rule, words: Column, lines: Column) -> Column:
+    return F.coalesce(rule.fails(F.col("text"), words, lines), F.lit(False))
 
 
 def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -143,16 +143,16 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPL
     rates = {}
     for rule in rules:
         began = time.perf_counter()
-        rejected = sample.agg(F.count_if(_fails(rule))).first()[0]
+        rejected = sample.agg(F.count_if(_fails(rule, F.col("__words"), F.col("__lines")))).first()[0]
         rates[rule.name] = rejected / (time.perf_counter() - began)
     return sorted(rules, key=lambda rule: -rates[rule.name])
 
 
-def passes(rules: Sequence[Rule]) -> Column:
+def passes(rules: Sequence[Rule], words: Column, lines: Column) -> Column:
     """Whether no rule is met, trying them in order and stopping at the first that is."""
-    chain = F.when(_fails(rules[0]), F.lit(False))
+    chain = F.when(_fails(rules[0], words, lines), F.lit(False))
     for rule in rules[1:]:
-        chain = chain.when(_fails(rule), F.lit(False))
+        chain = chain.when(_fails(rule, words, lines), F.lit(False))
     return chain.otherwise(F.lit(True))
 
 
@@ -163,7 +163,12 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int =
     verdicts, whatever their ids. An empty table stays empty.
     """
     ordered = order_rules(docs, rules, sample_rows)
-    return with_parts(docs).filter(passes(ordered)).drop("__words", "__lines")
+    # Bound to names inside the condition: as columns they would be computed again wherever the filter,
+    # pushed below them, refers to them.
+    text = F.col("text")
+    return docs.filter(
+        let(words_of(text), lambda words: let(lines_of(text), lambda lines: passes(ordered, words, lines)))
+    )
 
 
 def measure(docs: DataFrame, rules: Sequence[Rule] = TEXT_RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -184,7 +189,7 @@ def measure(docs: DataFrame, rules: Sequence[Rule] = TEXT_RULES, sample_rows: in
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     judged = counted.withColumn("base_failed", failed)
-    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(passes(ordered))
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(passes(ordered, words, lines))
     return judged.withColumn("kept", kept).drop("text", "__words", "__lines")
 
 

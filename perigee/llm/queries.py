@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from perigee.llm.chat import OP10_SQL, op10_chat
 from perigee.llm.decontaminate import OP8_SQL, op8_decontaminate
 from perigee.llm.jaccard import OP3_SQL, op3_near_documents
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_lines": op9_lines,
     "op10_chat": op10_chat,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL = {
@@ -32,4 +34,4 @@ SQL = {
     "op5_quality": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
     "op10_chat": OP10_SQL,
-}
+} | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
