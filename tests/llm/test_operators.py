@@ -1,0 +1,412 @@
+"""The operators on small tables with the cases that go wrong easily, against plain versions."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import brute  # noqa: E402
+from perigee.llm import (  # noqa: E402
+    chat,
+    components,
+    decontaminate,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    pages,
+    private,
+    quality,
+    scoring,
+)
+
+VOCABULARY = [a + b + c for a in "bdfglmnprst" for b in "aeiou" for c in ("n", "r", "s", "t", "lo", "mi")]
+
+
+def prose(random_, words):
+    return " ".join(random_.choice(VOCABULARY) for _ in range(words))
+
+
+def edited(random_, text, edits):
+    words = text.split(" ")
+    for _ in range(edits):
+        words[random_.randrange(len(words))] = random_.choice(VOCABULARY)
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    """Texts of all kinds: null, empty, blank, long, equal, near, with shared passages and many copies."""
+    r = random.Random(5)
+    long_one = "\n".join(prose(r, 60) for _ in range(120))
+    bases = [prose(r, n) for n in (9, 12, 25, 60, 200, 400)]
+    passage = prose(r, 55)
+    out = [None, "", " \t\n ", "one", "one two", "One TWO", "É!! ß İ 漢字かな交じり文", "x" * 5000, long_one, long_one]
+    out += ["\n".join(["same line of some words here"] * 6), "Mail a.b@c.org or +49 30 1234567, 10.0.0.1, 4111 1111 1111 1111."]
+    out += [edited(r, base, k) for base in bases for k in (0, 0, 1, 2, 5)]
+    out += [edited(r, bases[4], r.randrange(6)) for _ in range(40)]
+    out += [f"{prose(r, 30)}\n{passage}\n{prose(r, 30)}" for _ in range(8)]
+    out += [prose(r, r.randrange(1, 80)) for _ in range(40)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    """The texts with columns named like those the operators make."""
+    sources = ["b", None, "a", "c", "b", "b"]
+    langs = ["xx", None, "yy"]
+    rows = [(i, t, langs[i % 3], sources[i % 6], None if t is None else len(t), i, "k") for i, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size long, key string"
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.filter("doc_id < 0")
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null ids and rows repeated."""
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, None), (7, "a b c d e f"), (7, "a b c d e f"), (8, None)]
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns({"source": F.lit("s"), "lang": F.lit("xx")})
+
+
+def by_id(df, *columns):
+    return {row["doc_id"]: tuple(row[c] for c in columns) for row in df.collect()}
+
+
+def test_mixing(docs, empty, odd, texts):
+    found = by_id(mixing.mix_sources(docs), "size", "taken", "target", "copies")
+    triples = [(row.doc_id, row.text, row.source) for row in docs.collect()]
+    taken, target = brute.mix(triples)
+    assert {i: x[1] for i, x in found.items()} == taken
+    assert {i: pytest.approx(target[s]) for i, _, s in triples} == {i: x[2] for i, x in found.items()}
+    assert all(x[1] <= 2 * x[0] and x[3] <= 2 for x in found.values())
+    assert mixing.mix_sources(empty).count() == 0
+    assert mixing.mix_sources(odd).count() == odd.count()
+    assert "key" in mixing.mix_sources(docs).columns
+
+
+def test_quality(docs, empty, odd, texts):
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    assert by_id(quality.measure(docs), *names) == {i: brute.quality(t) for i, t in enumerate(texts)}
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    assert {row.doc_id for row in kept.collect()} == {i for i, t in enumerate(texts) if brute.quality(t)[-1]}
+    assert quality.measure(empty).count() == 0 and quality.keep_good(empty).count() == 0
+    assert quality.measure(odd).count() == odd.count()
+
+
+def test_order_of_rules_follows_rejections_per_cost(docs):
+    ordered = quality.order_rules(docs, quality.RULES)
+    assert sorted(r.name for r in ordered) == sorted(r.name for r in quality.RULES)
+    shuffled = [*reversed(quality.RULES)]
+    words, own_lines = quality.words_of(F.col("text")), quality.lines_of(F.col("text"))
+    verdicts = docs.select(
+        quality.passes(quality.RULES, words, own_lines).alias("x"), quality.passes(shuffled, words, own_lines).alias("y")
+    )
+    assert verdicts.filter("x != y").count() == 0
+
+
+def test_near_documents(docs, empty, odd, texts):
+    sets, _, labels = jaccard.near_groups(docs)
+    ids = docs.select("doc_id", jaccard.document_key().alias("key"))
+    rows = ids.join(sets, "key").join(labels, "node", "left").select(
+        "doc_id", "n", F.coalesce("component", "node").alias("group")
+    ).collect()
+    smallest = {}
+    for row in rows:
+        smallest[row.group] = min(row.doc_id, smallest.get(row.group, row.doc_id))
+    found = {r.doc_id: (r.n, r.doc_id if r.group is None else smallest[r.group]) for r in rows}
+    wanted = brute.near_groups(list(enumerate(texts)))
+    assert found == wanted
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {row.doc_id for row in kept.collect()} == {i for i, (_, first) in wanted.items() if i == first}
+    assert jaccard.keep_one(empty).count() == 0
+    # The row with an id stays for its text, once; those without words stay.
+    assert sorted(map(str, jaccard.keep_one(odd).select("doc_id", "text").collect())) == sorted(
+        ["Row(doc_id=7, text='a b c d e f')", "Row(doc_id=None, text=None)", "Row(doc_id=8, text=None)"]
+    )
+
+
+def test_bound_is_never_below_the_overlap():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for _ in range(50):
+        a = np.unique(r.integers(0, 2**63, r.integers(1, 400)).astype(np.uint64))
+        b = np.unique(np.concatenate([r.choice(a, len(a) // 2), r.integers(0, 2**63, r.integers(1, 400)).astype(np.uint64)]))
+        shared = len(np.intersect1d(a, b))
+        assert jaccard.overlap_bound(len(a), jaccard.bitmap(a), len(b), jaccard.bitmap(b)) >= shared
+
+
+def test_near_sets_share_a_bucket():
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    for size in [9, 10, 13, 19, 20, 27, 40, 90, 300, 1000]:
+        for _ in range(40):
+            a = np.unique(r.integers(0, 2**63, size).astype(np.uint64))
+            drop = r.integers(0, len(a) // 19 + 1)
+            b = np.concatenate([r.permutation(a)[drop:], r.integers(0, 2**63, r.integers(0, len(a) // 10 + 1)).astype(np.uint64)])
+            b = np.unique(b)
+            shared = len(np.intersect1d(a, b))
+            if 100 * shared >= 90 * (len(a) + len(b) - shared) and not np.array_equal(a, b):
+                assert len(np.intersect1d(jaccard.bucket_keys(a), jaccard.bucket_keys(b)))
+
+
+def test_components(spark):
+    r = random.Random(9)
+    edges = [(r.randrange(200), r.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(300, 380)] + [(5, 5)]
+    groups = brute.Groups()
+    for a, b in edges:
+        if a != b:
+            groups.join(a, b)
+    found = components.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert {row.node: row.component for row in found.collect()} == {x: groups.find(x) for x in groups.parent}
+    none = components.connected_components(spark.createDataFrame([], "a long, b long"))
+    assert none.count() == 0
+
+
+def test_decontaminate(spark, docs, empty, odd, texts):
+    r = random.Random(2)
+    items = [(1, texts[15]), (2, "two words"), (3, None), (4, ""), (5, texts[-50][:200]), (6, texts[15]), (7, "one"), (10, prose(r, 40))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    wanted = brute.leaks(list(enumerate(texts)), items)
+    _, occurrences, windows = decontaminate.find_leaks(docs, benchmark)
+    ids = docs.select("doc_id", decontaminate.document_key().alias("key"))
+    hits = by_id(ids.join(decontaminate.covered_words(occurrences), "key"), "n_hit")
+    assert {i: x[0] for i, x in hits.items()} == {i: x[1] for i, x in wanted.items() if x[1]}
+    found = ids.join(occurrences, "key").join(windows, "window").select("doc_id", "item_id").distinct().collect()
+    assert {(i, str(item)) for i, item in found} == {(i, item) for i, x in wanted.items() for item in x[2]}
+    kept = decontaminate.keep_clean(docs, benchmark)
+    assert kept.columns == docs.columns
+    assert {row.doc_id for row in kept.collect()} == {i for i, x in wanted.items() if not x[1]}
+    assert decontaminate.keep_clean(empty, benchmark).count() == 0
+    assert decontaminate.keep_clean(docs, benchmark.filter("item_id < 0")).count() == docs.count()
+    assert decontaminate.keep_clean(odd, benchmark).count() == odd.count()
+
+
+def test_lines(docs, empty, odd, texts):
+    found = by_id(lines.without_copies(docs), "text", "n_removed")
+    wanted = brute.line_dedup(list(enumerate(texts)))
+    assert len(found) == len(texts)
+    differing = [i for i in wanted if wanted[i] != found[i]]
+    assert len(differing) <= len(texts) * 0.03, differing
+    kept = lines.keep_lines(docs)
+    assert kept.columns == docs.columns
+    assert lines.without_copies(empty).count() == 0
+    assert lines.without_copies(odd).count() == odd.count()
+
+
+def test_line_signatures_find_nearly_all_near_pairs(spark):
+    r = random.Random(11)
+    pairs = []
+    for i in range(400):
+        base = prose(r, r.randrange(5, 70))
+        other = edited(r, base, r.randrange(1, 5))
+        x, y = ({t[k : k + 5] for k in range(len(t) - 4)} for t in (base, other))
+        if base != other and len(x & y) >= 0.8 * len(x | y):
+            pairs += [(2 * i, base), (2 * i + 1, other)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    labels = lines.line_links(lines.with_bands(lines.document_lines(df)), df)
+    found = labels.join(lines.document_lines(df).select("id", "doc_id"), "id").select("doc_id").distinct().count()
+    assert len(pairs) > 200
+    assert found >= 0.95 * len(pairs)
+
+
+def test_language(spark, docs, empty, odd, texts):
+    r = random.Random(1)
+    alphabets = {"aa": "abcdeimnor", "bb": "kopqrstuvy", "cc": "éèàçuvwxyz", "dd": "зиклмнопр"}
+    word = lambda x: "".join(r.choice(alphabets[x]) for _ in range(r.randrange(2, 9)))
+    rows = [(i, " ".join(word(x) for _ in range(r.randrange(1, 60))), x) for i in range(300) for x in alphabets]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(frame.filter("doc_id % 4 != 0"), train_rows=100)
+    found = language.identify(frame.filter("doc_id % 4 = 0"), model, keep=("doc_id", "lang")).collect()
+    assert sum(x.lang == x.lang_pred for x in found) >= 0.97 * len(found)
+    assert all(0 <= x.score <= 1 for x in found)
+    odd_ones = by_id(language.identify(docs, model), "lang_pred", "score", "ambiguous")
+    assert odd_ones[0] == odd_ones[1] == odd_ones[2] == ("und", 0.0, True)
+    assert len(odd_ones) == len(texts)
+    nothing = language.learn(empty)
+    assert {x[0] for x in by_id(language.identify(docs, nothing), "lang_pred").values()} == {"und"}
+    only_one = language.learn(odd)
+    assert {x[0] for x in by_id(language.identify(odd, only_one), "lang_pred").values()} == {"xx", "und"}
+    assert language.identify(empty, model).count() == 0
+
+
+def test_codes_are_apart():
+    for n in range(2, 40):
+        code = language.code_matrix(n)
+        distances = [(code[i] != code[j]).sum() for i in range(n) for j in range(i)]
+        assert min(distances) >= max(1, code.shape[1] // 5)
+        assert (abs(code.sum(0)) < n).all()
+
+
+def test_pieces_of_a_long_text_count_like_the_whole(monkeypatch):
+    import numpy as np
+
+    text = prose(random.Random(8), 500)
+    whole = [np.bincount(f, minlength=language.FEATURES) for _, _, f in language.gram_blocks([text, "ab", None])]
+    monkeypatch.setattr(language, "BLOCK", 97)
+    parts = [np.bincount(f, minlength=language.FEATURES) for _, _, f in language.gram_blocks([text, "ab", None])]
+    # A piece starts as a text does, so each seam may add a gram of a space and a letter.
+    assert abs(sum(parts).sum() - sum(whole).sum()) <= 3 * len(parts)
+
+
+def test_scoring(docs, empty, odd, texts):
+    train = F.col("doc_id") % 3 != 0
+    found = by_id(
+        scoring.score_texts(docs, train), "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+    wanted, total = brute.unigram_scores([(i, t, i % 3 != 0) for i, t in enumerate(texts)])
+    for i, (tokens, known, base) in wanted.items():
+        assert found[i][:4] == (i % 3 != 0, tokens, known, total)
+        assert found[i][4] == pytest.approx(base, abs=1e-6)
+        assert base - 1 < found[i][5] <= 0
+    assert sum(x[5] for x in found.values()) > sum(x[4] for x in found.values())
+    assert scoring.score_texts(empty, F.lit(True)).count() == 0
+    assert scoring.score_texts(odd, F.lit(True)).count() == odd.count()
+    untrained = by_id(scoring.score_texts(docs, F.lit(False)), "n_known", "base_score")
+    assert set(untrained.values()) == {(0, 0.0)}
+
+
+def test_filter_holds_counts_rounded_down(spark):
+    import numpy as np
+
+    rows = [(int(h), int(n)) for h, n in zip(np.arange(1, 4000) * 7919 - 10**7, np.arange(1, 4000) % 90 + 1, strict=True)]
+    held = scoring.build_filter(spark.createDataFrame(rows, "pair long, n long"))
+    found = held.counts(np.array([h for h, _ in rows]).astype(np.int64).view(np.uint64))
+    wanted = np.array([2 ** int(np.log2(n)) if n > 1 else 0 for _, n in rows])
+    assert (found >= wanted).all()
+    assert (found > wanted).mean() < 0.05
+    small = scoring.build_filter(spark.createDataFrame(rows, "pair long, n long"), most_bits=1 << 14)
+    assert small.least > held.least
+
+
+def test_private(spark, docs, empty, odd, texts):
+    more = [
+        "a@b.c_d@e.f x@y.z",
+        "1.2.3.4.5.6.7.8 999.1.1.1 001.2.3.4",
+        "+1 (234) 567-8901 end +12 +1+2",
+        "4111 1111 1111 1111 4111-1111-1111-1112",
+        "é 1.2.3.4 漢 a@b.co\n+44 20 7946 0958",
+        "a" * 50_000,
+        "1 " * 20_000,
+        "x@y.zz " * 3_000,
+    ]
+    frame = spark.createDataFrame(list(enumerate([*texts, *more])), "doc_id long, text string")
+    values = private.find_values(frame)
+    ids = frame.select("doc_id", private.document_key().alias("key"))
+    found = sorted(map(tuple, ids.join(values, "key").select("doc_id", "kind", "start", "end").collect()))
+    wanted = sorted((i, *span) for i, t in enumerate([*texts, *more]) for span in brute.private_spans(t))
+    assert found == wanted
+    cleaned = by_id(private.sanitise(docs), "text")
+    assert cleaned[11] == ("Mail [EMAIL] or [PHONE], [IP], [CARD].",)
+    assert [cleaned[i][0] for i in range(9)] == texts[:9]
+    assert private.sanitise(docs).columns == docs.columns
+    assert private.find_private(empty).count() == 0
+    assert private.sanitise(odd).count() == odd.count()
+
+
+def test_terms_that_give_a_value_away(spark):
+    r = random.Random(6)
+    rows = [(i, f"{prose(r, 20)} write to Zanzibarov about it a.z@mail.org {prose(r, 20)}") for i in range(4)]
+    rows += [(i, f"write to them about it {prose(r, 30)}") for i in range(4, 40)]
+    rows.append((50, f"far away {prose(r, 30)}"))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {row.term for row in private.disclosing_terms(frame, private.find_values(frame)).collect()}
+    assert "zanzibarov" in terms
+    assert not terms & {"write", "about"}
+    cleaned = by_id(private.sanitise(frame), "text")
+    assert all("Zanzibarov" not in cleaned[i][0] and "[EMAIL]" in cleaned[i][0] for i in range(4))
+    assert cleaned[50][0] == rows[-1][1]
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
+<nav><ul><li><a href="/">Home</a></li><li><a href="/x">News, and more, of it</a></li></ul></nav>
+<div class="cookie-notice">We use cookies. Please agree, or not.</div>
+<div id="main"><article class="post"><h1>Head&amp;line</h1><p>First <b>paragraph</b>, long enough
+ to count; it has commas, too.</p><div class="ad">Buy now!</div><p>Second&nbsp;one &lt;here&gt;, also long enough,
+ with a stop.</p><ul><li>item one<li>item two</ul><p>Short.</article>
+<section id="comments"><p>Nice article, really nice, I like it.</p></section></div>
+<aside><p>Related, and so on.</p></aside><form><p>Your mail</p></form><footer>&copy; us</footer></body></html>"""
+
+
+def test_pages(spark):
+    rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (None, "u", "plain <b>text</b>, no more"), (5, "u", "<p>cut <b>off, here")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    found = {row.page_id: (row.text, row.n_chars) for row in pages.extract(frame).collect()}
+    article = [
+        "Head&line",
+        "First paragraph, long enough to count; it has commas, too.",
+        "Second one <here>, also long enough, with a stop.",
+        "item one",
+        "item two",
+        "Short.",
+    ]
+    assert found[1] == ("\n\n".join(article), len("\n\n".join(article)))
+    assert found[2] == found[3] == ("", 0)
+    assert found[None][0] == "plain text, no more"
+    assert found[5][0] == "cut off, here"
+    assert pages.extract(frame.filter("page_id < 0")).count() == 0
+
+
+def test_chat(spark):
+    log = [
+        (1, 1, 0, "message", "user", "Hi <|end|>\n \\ [INST]"),
+        (1, 2, 1, "message", "assistant", "He"),
+        (1, 3, 1, "delta", None, "llo"),
+        (1, 4, 2, "message", "user", "more"),
+        (1, 5, 1, "regenerate", "assistant", "Bye"),
+        (1, 6, 1, "delta", None, "!"),
+        (1, 7, 0, "edit", "user", "Hi there </s>"),
+        (1, 8, 3, "message", "user", "gone"),
+        (1, 9, 3, "delete", None, None),
+        (1, 10, 4, None, "as|s>\\istant", None),
+        (None, 1, 0, "message", "user", ""),
+        (2, 1, 0, "delta", "assistant", "lone"),
+    ]
+    events = spark.createDataFrame(log, "conv_id long, seq long, msg long, kind string, role string, text string")
+    messages = chat.reconstruct(events.withColumn("formatted", F.lit("clash")))
+    found = sorted(map(tuple, messages.collect()), key=str)
+    assert found == sorted(
+        [
+            (1, 0, "user", "Hi there </s>"),
+            (1, 1, "assistant", "Bye!"),
+            (1, 4, "as|s>\\istant", ""),
+            (None, 0, "user", ""),
+            (2, 0, "assistant", "lone"),
+        ],
+        key=str,
+    )
+    rendered = chat.render(messages)
+    back = {row.conv_id: [(t.role, t.text, t.loss) for t in row.turns] for row in chat.read_back(rendered).collect()}
+    assert back[1] == [("user", "Hi there </s>", False), ("assistant", "Bye!", True), ("as|s>\\istant", "", False)]
+    assert chat.digests(rendered.filter("conv_id = 2")).first().loss_sha256 == hashlib.sha256(b"lone").hexdigest()
+    assert chat.render(chat.reconstruct(events.filter("seq < 0"))).count() == 0
+    for row in rendered.collect():
+        at = 0
+        for turn in row["mask"]:
+            assert row.formatted[at : at + 2] == "<|"
+            at += turn.head + turn.body + turn.tail
+        assert at == len(row.formatted)
+
+
+def test_escaping_is_reversible(spark):
+    r = random.Random(3)
+    parts = [*chat.CONTROL, "\\", "|", "<", "[", ">", "a", "\n", "<|end|>\n"]
+    made = ["".join(r.choice(parts) for _ in range(r.randrange(12))) for _ in range(400)]
+    frame = spark.createDataFrame([(t,) for t in made], "text string").withColumn("e", chat.escape(F.col("text")))
+    rows = frame.withColumn("back", chat.unescape(F.col("e"))).collect()
+    assert all(row.back == row.text for row in rows)
+    assert not any(control in row.e for row in rows for control in chat.CONTROL)
