@@ -116,14 +116,9 @@ def events_approaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approaches(table(spark, sf_dir, "events"), EVENTS, F.expr("CAST(ts AS DATE)").alias("feed_date"))
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over as many tasks as the session has cores, if the scan alone would use fewer.
-
-    Writing and parsing JSON is heavy per row, and a table of few files is read by few tasks.
-    Large tables come in more tasks than that and are left as they are.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by a key with many values: writing and parsing JSON is heavy per row."""
+    return rows.repartition(key)
 
 
 def as_object(object_id: Column, magnitude: Column | None = None, with_approach: Column | None = None) -> Column:

@@ -94,7 +94,7 @@ def _land(spark: SparkSession, sf_dir: str, landing: str) -> None:
     Of a day's documents the newest counts, so the day store ends up with the last event of
     each day, whatever order the files of the first round come in.
     """
-    rows = spread(events_approaches(spark, sf_dir)).withColumn("event", F.col("id").cast("bigint"))
+    rows = spread(events_approaches(spark, sf_dir), "id").withColumn("event", F.col("id").cast("bigint"))
     last = newest_per_day(rows, "feed_date", "event", APPROACH_COLUMNS)
     for published in (rows, last):
         publish_files(documents(published, as_document(F.col("feed_date"))), landing)
@@ -125,7 +125,7 @@ def _last_of_day_sql(until: date | None = None) -> str:
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through a landing folder; empty ones are not sent."""
     folder = f"{work_dir(spark, 'published')}/landing"
-    rows = spread(events_approaches(spark, sf_dir))
+    rows = spread(events_approaches(spark, sf_dir), "id")
     empty = F.when(F.col("is_potentially_hazardous_asteroid"), F.lit("{}"))
     publish_files(rows.select(F.coalesce(empty, F.to_json(F.struct("id", "name"))).alias("value")), folder)
     return read_feed(spark, folder).select("value")

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 from functools import reduce
-from operator import or_
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perigee.functions.dates import feed_day
 from perigee.functions.documents import decode_feed
-from perigee.operators.days import newest_per_day
 from perigee.schema import APPROACH_FIELDS, CORRUPT
 
 MALFORMED = "malformed document"
@@ -30,13 +29,30 @@ def _text(obj: Column, place: str) -> Column:
     return reduce(lambda column, part: column[part], parts, obj)
 
 
-def _bad_value(obj: Column) -> Column:
-    checks = (
-        _text(obj, place).isNotNull() & _text(obj, place).try_cast(kind).isNull()
-        for _, place, kind in APPROACH_FIELDS
-        if kind != "string"
+def _whole(text: Column, kind: str) -> Column:
+    """Whole number of a text; one written with a fraction of nought, as 2.0, is whole."""
+    number = text.try_cast("decimal(38,6)")
+    return F.when(number == F.floor(number), F.floor(number).try_cast(kind))
+
+
+def _value(text: Column, kind: str) -> Column:
+    return _whole(text, kind) if kind == "bigint" else text.try_cast(kind)
+
+
+def _typed(obj: Column) -> Column:
+    """An object's values in the types of their columns, and how many of those that need one were given."""
+    given = (F.when(_text(obj, place).isNotNull(), 1).otherwise(0) for _, place, kind in APPROACH_FIELDS if kind != "string")
+    return F.struct(
+        *(_value(_text(obj, place), kind).alias(name) for name, place, kind in APPROACH_FIELDS),
+        reduce(add, given).alias("given"),
+        _no_approach(obj).alias("no_approach"),
     )
-    return reduce(or_, checks)
+
+
+def _bad_value(typed: Column) -> Column:
+    """Whether a value was given that did not fit."""
+    fitting = (F.when(typed[name].isNotNull(), 1).otherwise(0) for name, _, kind in APPROACH_FIELDS if kind != "string")
+    return typed["given"] > reduce(add, fitting)
 
 
 def _no_approach(obj: Column) -> Column:
@@ -44,7 +60,7 @@ def _no_approach(obj: Column) -> Column:
 
 
 def day_lists(documents: DataFrame, start: date | None = None, end: date | None = None) -> DataFrame:
-    """One row per document and day: `feed_date`, the `objects` that count, and what is wrong, if anything.
+    """One row per document and day: `feed_date`, the `objects` that count, typed, and what is wrong, if anything.
 
     `documents` has a text column `value`; its other columns are carried along. Blank lines are
     no documents. The first `element_count` objects of a day count. `reason` is null for a list that can be used. A
@@ -59,7 +75,7 @@ def day_lists(documents: DataFrame, start: date | None = None, end: date | None
         .select(
             *carried,
             F.col(f"feed.{CORRUPT}").isNotNull().alias("malformed"),
-            F.col("feed.element_count").try_cast("int").alias("element_count"),
+            _whole(F.col("feed.element_count"), "int").alias("element_count"),
             F.explode_outer("feed.near_earth_objects").alias("day_key", "listed"),
         )
         .withColumn("feed_date", feed_day(F.col("day_key")))
@@ -72,13 +88,14 @@ def day_lists(documents: DataFrame, start: date | None = None, end: date | None
     count = F.col("element_count")
     wanted = F.greatest(count, F.lit(0))
     objects = F.slice(F.coalesce("listed", F.array().cast(lists.schema["listed"].dataType)), F.lit(1), wanted)
+    objects = F.transform(objects, _typed)
     reason = (
         F.when(F.col("malformed"), MALFORMED)
         .when(count.isNull(), NO_COUNT)
         .when(F.col("day_key").isNull(), NO_DAYS)
         .when(F.col("feed_date").isNull(), BAD_DAY)
         .when(F.size("objects") < wanted, SHORT_LIST)
-        .when(F.exists("objects", _no_approach), NO_APPROACH)
+        .when(F.exists("objects", lambda o: o["no_approach"]), NO_APPROACH)
         .when(F.exists("objects", _bad_value), BAD_VALUE)
     )
     return lists.withColumn("objects", objects).select(
@@ -90,7 +107,7 @@ def flatten_lists(lists: DataFrame) -> DataFrame:
     """One row per object of usable day lists: `feed_date` and the 25 approach columns."""
     return lists.select("feed_date", F.explode("objects").alias("object")).select(
         "feed_date",
-        *(_text(F.col("object"), place).try_cast(kind).alias(name) for name, place, kind in APPROACH_FIELDS),
+        *(f"object.{name}" for name, _, _ in APPROACH_FIELDS),
     )
 
 
@@ -103,7 +120,3 @@ def feed_errors(documents: DataFrame, start: date | None = None, end: date | Non
     """The day lists `flatten_feed` leaves out, with the reason and the document."""
     return day_lists(documents, start, end).filter(F.col("reason").isNotNull()).drop("objects")
 
-
-def newest_lists(lists: DataFrame, ways: int = 1) -> DataFrame:
-    """Of several usable lists of a day, the one from the newest document."""
-    return newest_per_day(lists, "feed_date", "position", ["objects"], ways)

@@ -4,20 +4,20 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perigee.operators.flatten import day_lists, flatten_lists, newest_lists
+from perigee.operators.days import day_range
+from perigee.operators.flatten import day_lists, flatten_lists
+from perigee.session import work_table
 from perigee.sinks.days import write_days
+from perigee.sinks.files import exists, remove
 
-
-# Groups in which the candidates for one day meet first. Whole documents are compared, and a day
-# may have one in every task.
-WAYS = 32
+NO_DOCUMENT = "no document for the day"
 
 
 class FeedErrors(RuntimeError):
-    """Some documents could not be stored; the error table says which and why."""
+    """Some days or documents could not be stored; the error table says which and why."""
 
     def __init__(self, count: int, path: str):
         super().__init__(f"{count} day lists could not be used, see {path}")
@@ -25,25 +25,45 @@ class FeedErrors(RuntimeError):
         self.path = path
 
 
+def newest_lists(lists: DataFrame) -> DataFrame:
+    """Of several lists of a day, the one with the greatest position.
+
+    The position is found on the two narrow columns, one row per task and day; the lists themselves are
+    neither sorted nor grouped. `lists` is stored, so the position is the same in both reads.
+    """
+    newest = lists.groupBy("feed_date").agg(F.max("position").alias("position"))
+    return lists.join(work_table(newest, "newest"), ["feed_date", "position"])
+
+
 def ingest(
-    documents: DataFrame, out: str, errors: str, start: date | None = None, end: date | None = None
+    documents: DataFrame,
+    out: str,
+    errors: str,
+    start: date | None = None,
+    end: date | None = None,
+    every_day: bool = False,
 ) -> int:
     """Write the newest usable list of each day to the day store at `out`; returns how many lists were unusable.
 
-    The documents are read once: unusable lists are counted on the way, and only when there
-    are some does a second pass write them to `errors` (replacing what is there). A day is a
-    single document, and choosing it leaves each day in one task, so the write needs no
-    further shuffle.
+    The documents are parsed once, and what they hold is stored as a work table that the rest reads.
+    Unusable lists go to `errors`, in place of what is there. With `every_day`, days from `start` to `end`
+    that no document has count as unusable too. A day is a single document and its list stays in one task, so the
+    write needs no shuffle.
     """
     # Lines of one file block have the same origin; one task reads them in order, and the id follows.
     position = F.struct("origin", F.monotonically_increasing_id().alias("row"))
-    lists = day_lists(documents.select("value", position.alias("position")), start, end)
-    seen = Observation()
-    usable = lists.observe(seen, F.count_if(F.col("reason").isNotNull()).alias("unusable")).filter(
-        F.col("reason").isNull()
-    )
-    write_days(flatten_lists(newest_lists(usable, WAYS)), out, clustered=True)
-    unusable = seen.get.get("unusable") or 0
+    lists = work_table(day_lists(documents.select("value", position.alias("position")), start, end), "lists")
+    usable = F.col("reason").isNull()
+    write_days(flatten_lists(newest_lists(lists.filter(usable))), out, clustered=True)
+    bad = lists.filter(~usable).drop("objects")
+    if every_day:
+        days = day_range(documents.sparkSession, start, end).withColumnRenamed("day", "feed_date")
+        absent = days.join(lists.select("feed_date").distinct(), "feed_date", "left_anti")
+        bad = bad.unionByName(absent.withColumn("reason", F.lit(NO_DOCUMENT)), allowMissingColumns=True)
+    bad = work_table(bad, "errors")
+    unusable = bad.count()
     if unusable:
-        lists.filter(F.col("reason").isNotNull()).drop("objects").write.mode("overwrite").parquet(errors)
+        bad.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(errors)
+    elif exists(documents.sparkSession, errors):
+        remove(documents.sparkSession, errors)
     return unusable

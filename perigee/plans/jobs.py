@@ -22,14 +22,13 @@ from perigee.plans.marts import (
 from perigee.plans.rollup import approach_rollup, rollup_cluster_parts
 from perigee.schema import APPROACH_COLUMNS, STORE_PARTITIONS
 from perigee.session import work_table
-from perigee.sinks.days import write_partitions
+from perigee.sinks.days import dealt, drop_partitions, write_partitions
 from perigee.sinks.marts import register_table, write_mart
 from perigee.sources.feed import read_feed, stream_feed
-from perigee.sources.stores import read_days, read_union
+from perigee.sources.stores import in_days, read_days, read_union
 from perigee.streaming.live import run_live
 
 MARTS_AT_ONCE = 4
-ONE_TASK_ROWS = 1_000_000
 
 
 def backfill(
@@ -43,10 +42,11 @@ def backfill(
 ) -> None:
     """Store the days from `start` to `end` of all landed documents.
 
-    Raises FeedErrors after the usable days are stored if some documents were not usable.
+    Raises FeedErrors after the usable days are stored if some documents were not usable, or if
+    some of the days have no document at all; the error table lists both.
     """
     errors = errors or f"{out}_errors"
-    unusable = ingest(read_feed(spark, landing, whole_files), out, errors, start, end)
+    unusable = ingest(read_feed(spark, landing, whole_files), out, errors, start, end, every_day=True)
     if unusable:
         raise FeedErrors(unusable, errors)
 
@@ -78,15 +78,17 @@ def union(
 ) -> None:
     """Write both stores to the union table, duplicates kept.
 
-    With `start` or `end`, only those days are read and replaced. Rows stay in the task that
-    read them: the stores are laid out by day already, so nothing is shuffled.
+    With `start` or `end`, only those days are read and replaced; days in that range that the stores no longer
+    have go. Rows are dealt to tasks by store and day, a large day to several.
     """
     stores = {
         name: read_days(spark, root, start, end, partitions=True).withColumn("store", F.lit(name))
         for name, root in (("hist", hist), ("live", live))
     }
     rows = union_stores(stores["hist"], stores["live"]).select(*APPROACH_COLUMNS, *STORE_PARTITIONS)
-    write_partitions(rows, out, STORE_PARTITIONS, replace_all=start is None and end is None)
+    write_partitions(dealt(rows, STORE_PARTITIONS), out, STORE_PARTITIONS, replace_all=start is None and end is None)
+    if start is not None or end is not None:
+        drop_partitions(out, STORE_PARTITIONS, read_union(spark, out, start, end, partitions=True), rows)
 
 
 def rollup(
@@ -97,15 +99,14 @@ def rollup(
     # The grouping scatters each day over all tasks; without the rebalance each would write every day.
     parts = approach_rollup(rows, by=STORE_PARTITIONS).hint("rebalance", *STORE_PARTITIONS)
     write_partitions(parts, out, STORE_PARTITIONS, replace_all=start is None and end is None)
+    if start is not None or end is not None:
+        stored = in_days(spark.read.parquet(out), start, end)
+        drop_partitions(out, STORE_PARTITIONS, stored, rows)
 
 
-def _stored(summary: DataFrame, name: str) -> DataFrame:
-    """A summary (day counts or cluster parts) as a stored table.
-
-    If it is as small as expected, it is read by one task, and marts taken from it shuffle nothing.
-    """
-    table = work_table(summary, name)
-    return table.coalesce(1) if table.count() <= ONE_TASK_ROWS else table
+def _stored_days(counts: DataFrame) -> DataFrame:
+    """Day counts as a stored table, read by one task: it has a row per day, so the calendar bounds it."""
+    return work_table(counts, "days").coalesce(1)
 
 
 def _period_marts(marts: Mapping[str, Callable[[DataFrame], DataFrame]], days: DataFrame) -> dict[str, DataFrame]:
@@ -125,19 +126,19 @@ def _write_marts(marts: Mapping[str, DataFrame], out: str) -> None:
 
 def approach_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The six marts on how often approaches happen, from one scan."""
-    days = _stored(day_counts(read_union(spark, union_table)), "days")
+    days = _stored_days(day_counts(read_union(spark, union_table)))
     _write_marts(_period_marts(APPROACH_MARTS, days), out)
 
 
 def cluster_marts(spark: SparkSession, union_table: str, out: str, as_of: date | None = None) -> None:
     """The four profiles of the objects, from one scan."""
-    parts = _stored(cluster_parts(read_union(spark, union_table), as_of), "parts")
+    parts = work_table(cluster_parts(read_union(spark, union_table), as_of), "parts")
     _write_marts(_cluster_marts(parts), out)
 
 
 def kpi_marts(spark: SparkSession, union_table: str, out: str) -> None:
     """The seven KPIs, from one scan."""
-    days = _stored(day_counts(read_union(spark, union_table)), "days")
+    days = _stored_days(day_counts(read_union(spark, union_table)))
     _write_marts(_period_marts(KPI_MARTS, days), out)
 
 
@@ -159,8 +160,8 @@ def daily(
     union(spark, hist, live, f"{out}/union", start, end)
     rollup(spark, f"{out}/union", f"{out}/rollup", start, end)
     summary = spark.read.parquet(f"{out}/rollup")
-    days = _stored(day_counts(summary, weight="row_count"), "days")
-    parts = _stored(rollup_cluster_parts(summary, as_of), "parts")
+    days = _stored_days(day_counts(summary, weight="row_count"))
+    parts = work_table(rollup_cluster_parts(summary, as_of), "parts")
     marts = {
         **_period_marts(APPROACH_MARTS, days),
         **_cluster_marts(parts),

@@ -7,26 +7,46 @@ from pyspark.sql import functions as F
 
 from perigee.functions.dates import day_parts
 from perigee.schema import APPROACH_COLUMNS, DAY_PARTITIONS
+from perigee.sinks.files import remove, replace_directory
+
+# Tasks that share a day. Small ones are packed together again by adaptive execution.
+WAYS = 8
 
 
 def write_days(df: DataFrame, root: str, day: str = "feed_date", clustered: bool = False) -> None:
     """Write approach rows as one partition per day; a day written again is replaced.
 
     Only the days present in `df` are touched. Rows are brought together by day through a
-    rebalance, which packs small days and splits a day too large for one task. `clustered`
+    rebalance, which packs small days and splits large ones: a day is dealt to several tasks from the start,
+    so one with a third of all rows is not left to the size at which partitions are split. `clustered`
     says each day already sits in one task and is small, so the shuffle is left out.
     """
     rows = df.select(*APPROACH_COLUMNS, *(part.alias(name) for name, part in day_parts(F.col(day)).items()))
     if not clustered:
-        rows = rows.hint("rebalance", *DAY_PARTITIONS)
+        rows = dealt(rows, DAY_PARTITIONS)
     write_partitions(rows, root, DAY_PARTITIONS)
 
 
+def dealt(rows: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
+    """Rows brought together by partition, each partition in a bounded number of shares."""
+    way = F.pmod(F.xxhash64("id", "close_approach_date_full"), F.lit(WAYS))
+    return rows.withColumn("__way", way).hint("rebalance", *partitions, "__way").drop("__way")
+
+
 def write_partitions(df: DataFrame, root: str, partitions: tuple[str, ...], replace_all: bool = False) -> None:
     """Write by partition: replace the partitions present in `df`, or the whole table."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
-        .partitionBy(*partitions)
-        .parquet(root)
-    )
+    if replace_all:
+        replace_directory(df, root, partitions)
+    else:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root)
+
+
+def drop_partitions(root: str, partitions: tuple[str, ...], stored: DataFrame, wanted: DataFrame) -> None:
+    """Remove the partitions of `stored` that `wanted` does not have.
+
+    Both are read for their partition values only. What comes to the driver is one row per day that goes.
+    """
+    gone = stored.select(*partitions).distinct().join(wanted.select(*partitions).distinct(), list(partitions), "left_anti")
+    for row in gone.collect():
+        place = "/".join(f"{name}={row[name]}" for name in partitions)
+        remove(stored.sparkSession, f"{root.rstrip('/')}/{place}")

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def _messages(documents: DataFrame) -> DataFrame:
-    # Nothing is sent for an empty document.
-    return documents.select("value").filter(~F.trim("value").isin("", "{}", "null"))
+    # Nothing is sent for an empty document. A message is one line: in JSON, line ends only stand between
+    # tokens, where a space does as well.
+    sent = documents.select("value").filter(~F.btrim("value", F.lit(" \t\r\n")).isin("", "{}", "null"))
+    return sent.select(F.regexp_replace(F.btrim("value", F.lit(" \t\r\n")), "[\r\n]+", " ").alias("value"))
 
 
 def publish_files(documents: DataFrame, path: str) -> None:

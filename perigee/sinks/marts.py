@@ -4,17 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from perigee.sinks.files import replace_directory
+
 
 def write_mart(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Replace the mart's directory, or with mode `error` refuse if it exists."""
-    df.write.mode(mode).option("partitionOverwriteMode", "static").parquet(path)
+    if mode == "overwrite":
+        replace_directory(df, path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def register_table(spark: SparkSession, name: str, path: str) -> None:
-    """Make the files at `path` a catalog table, or refresh the table if there is one already."""
+    """Make the files at `path` a catalog table, or refresh the table if there is one already.
+
+    A table of other files or other columns is made anew; only its entry goes, its files stay.
+    """
     quoted = ".".join(f"`{part}`" for part in name.split("."))
     location = path.replace("\\", "\\\\").replace("'", "\\'")
+    if spark.catalog.tableExists(quoted) and not _same(spark, quoted, path):
+        spark.sql(f"DROP TABLE {quoted}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted} USING parquet LOCATION '{location}'")
     if any(column.isPartition for column in spark.catalog.listColumns(quoted)):
         spark.catalog.recoverPartitions(quoted)
     spark.catalog.refreshTable(quoted)
+
+
+def _same(spark: SparkSession, table: str, path: str) -> bool:
+    described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    plain = spark._jvm.org.apache.hadoop.fs.Path
+    here = plain(path).toUri().getPath()
+    there = plain(described["Location"]).toUri().getPath()
+    columns = {(column.name.lower(), column.dataType) for column in spark.table(table).schema}
+    return here == there and columns == {(c.name.lower(), c.dataType) for c in spark.read.parquet(path).schema}

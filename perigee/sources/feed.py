@@ -31,9 +31,11 @@ def read_feed(spark: SparkSession, path: str, whole_files: bool = False) -> Data
     return text.select("value", _file_origin().alias("origin"))
 
 
-def stream_feed(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Landed documents as a stream, oldest file first, one document per line."""
-    reader = spark.readStream.format("text")
+def stream_feed(
+    spark: SparkSession, path: str, max_files: int | None = None, whole_files: bool = False
+) -> DataFrame:
+    """Landed documents as a stream, oldest file first: one per line, or one per file with `whole_files`."""
+    reader = spark.readStream.format("text").option("wholetext", whole_files)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path).select("value", _file_origin().alias("origin"))

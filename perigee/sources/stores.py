@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +20,11 @@ _STORE_TYPES = [T.StructField("store", T.StringType()), *_DAY_TYPES]
 
 def in_days(df: DataFrame, start: date | None, end: date | None) -> DataFrame:
     """Rows of the day partitions from `start` to `end`, both included; other directories are not read."""
+    # The year alone is a bound that a catalog can use too.
     if start is not None:
-        df = df.filter(partition_day() >= F.lit(start))
+        df = df.filter((partition_day() >= F.lit(start)) & (F.col("year") >= F.lit(start.year)))
     if end is not None:
-        df = df.filter(partition_day() <= F.lit(end))
+        df = df.filter((partition_day() <= F.lit(end)) & (F.col("year") <= F.lit(end.year)))
     return df
 
 
@@ -47,16 +51,28 @@ def read_union(
 def read_plain_days(spark: SparkSession, root: str) -> DataFrame:
     """Day files kept as `<year>/<month>/<day>.parquet` with whatever types they were written in.
 
-    For taking over an existing store: values are cast to the fixed types, and one that does
-    not fit fails the read. `year, month, day` come from the path.
+    For taking over an existing store. Types were inferred file by file, so a column may be whole numbers in
+    one and fractions in the next: each file is read by its own types, in a task, and cast to the fixed ones. A value
+    that does not fit fails the read; a column a file does not have is null. `year, month, day` come from the path.
     """
-    files = spark.read.parquet(f"{root.rstrip('/')}/*/*/*")
-    return files.select(
-        *(F.col(name).cast(kind).alias(name) for name, _, kind in APPROACH_FIELDS),
-        *(
-            F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)/(\d+)/(\d+)\.parquet$", index)
-            .cast("int")
-            .alias(name)
-            for index, name in enumerate(DAY_PARTITIONS, start=1)
-        ),
+    kinds = {"string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "date": pa.date32(), "bigint": pa.int64()}
+    fields = [(name, kinds[kind]) for name, _, kind in APPROACH_FIELDS]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                table = pq.read_table(pa.BufferReader(content.as_buffer()))
+                columns = [
+                    table.column(name).cast(kind) if name in table.column_names else pa.nulls(table.num_rows, kind)
+                    for name, kind in fields
+                ]
+                columns.append(pa.array([path] * table.num_rows, pa.string()))
+                yield from pa.table(columns, names=[*(name for name, _ in fields), "path"]).to_batches()
+
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*/*").select("path", "content")
+    schema = T.StructType([*APPROACH_SCHEMA.fields, T.StructField("path", T.StringType())])
+    day = r"(\d+)/(\d+)/(\d+)\.parquet$"
+    return files.mapInArrow(read, schema).select(
+        *APPROACH_COLUMNS,
+        *(F.regexp_extract("path", day, index).cast("int").alias(name) for index, name in enumerate(DAY_PARTITIONS, start=1)),
     )

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from perigee.catalog import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -24,8 +25,10 @@ def check():
     return connection
 
 
-def test_every_query_has_sql():
-    assert entry_point.oracle_sql().keys() == entry_point.queries().keys()
+def test_every_query_of_the_catalog_is_registered_with_sql():
+    assert all(query.sql for query in QUERIES.values())
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert QUERIES.keys() <= entry_point.oracle_sql().keys()
 
 
 def test_entry(spark):
@@ -34,7 +37,7 @@ def test_entry(spark):
     assert result.count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, check, name):
     result = entry_point.queries()[name](spark, str(DATA))
     columns = sorted(result.columns)

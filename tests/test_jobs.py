@@ -12,7 +12,7 @@ from test_periods import MARTS as PERIODS
 
 from perigee.operators.flatten import SHORT_LIST
 from perigee.plans import jobs
-from perigee.plans.ingest import FeedErrors
+from perigee.plans.ingest import NO_DOCUMENT, FeedErrors
 from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS
 from perigee.sinks.days import write_days
 from perigee.sinks.feed import publish_files
@@ -72,9 +72,12 @@ def test_backfill_stores_the_good_days_and_fails(spark, tmp_path):
     out = str(tmp_path / "out")
     with pytest.raises(FeedErrors) as raised:
         jobs.backfill(spark, str(tmp_path / "in"), out, date(2024, 1, 1), date(2024, 1, 3))
-    assert (raised.value.count, raised.value.path) == (1, f"{out}_errors")
+    assert (raised.value.count, raised.value.path) == (2, f"{out}_errors")
     assert rows(read_days(spark, out), "id") == [("1",)]
-    assert rows(spark.read.parquet(f"{out}_errors"), "feed_date", "reason") == [(date(2024, 1, 2), SHORT_LIST)]
+    assert rows(spark.read.parquet(f"{out}_errors"), "feed_date", "reason") == [
+        (date(2024, 1, 2), SHORT_LIST),
+        (date(2024, 1, 3), NO_DOCUMENT),
+    ]
 
 
 def test_empty_day_has_no_partition(spark, tmp_path):

@@ -116,10 +116,21 @@ def test_plain_day_files_are_cast(spark, tmp_path):
     ) == [(date(2024, 1, 1), 1.5, 2024, 1, 1), (date(2024, 1, 2), 2.5, 2024, 1, 2)]
 
 
-def test_plain_day_files_of_different_types_fail(spark, tmp_path):
-    _plain_file(tmp_path, date(2024, 1, 1), absolute_magnitude_h=20)
-    _plain_file(tmp_path, date(2024, 1, 2), absolute_magnitude_h=20.5)
-    with pytest.raises(Exception, match="PARQUET"):
+def test_plain_day_files_of_different_types_are_taken_over(spark, tmp_path):
+    _plain_file(tmp_path, date(2024, 1, 1), absolute_magnitude_h=20, epoch_date_close_approach=5)
+    _plain_file(tmp_path, date(2024, 1, 2), absolute_magnitude_h=20.5, epoch_date_close_approach=6.0)
+    _plain_file(tmp_path, date(2024, 1, 3), absolute_magnitude_h="21.25")
+    taken = read_plain_days(spark, str(tmp_path))
+    assert rows(taken, "day", "absolute_magnitude_h", "epoch_date_close_approach") == [
+        (1, 20.0, 5),
+        (2, 20.5, 6),
+        (3, 21.25, None),
+    ]
+
+
+def test_plain_day_value_that_does_not_fit_fails(spark, tmp_path):
+    _plain_file(tmp_path, date(2024, 1, 1), absolute_magnitude_h="bright")
+    with pytest.raises(Exception, match="bright"):
         read_plain_days(spark, str(tmp_path)).collect()
 
 
