@@ -31,8 +31,9 @@ SHINGLE = 3
 PERCENT = 90
 BAND = 1.5
 BLOCK_WORDS = 1 << 18
-#: Elements of a block of a bucket. A task holds two blocks.
+#: Elements and sets of a block of a group. A task holds two blocks.
 BLOCK_ELEMENTS = 1 << 19
+BLOCK_SETS = 512
 FILTER_BITS = 1 << 26
 
 
@@ -297,7 +298,7 @@ def open_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
 
     Buckets of two have been settled by their only pair. Sets that meet in the others, one way or another,
     make a group, so that a set is compared once and not in each of its buckets. A group is cut into
-    blocks of about equal numbers of elements; every two blocks make a task's work, whatever the size of the group.
+    blocks of bounded numbers of sets and elements; every two blocks make a task's work, whatever the size of the group.
     """
     labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
     buckets = labelled.groupBy("key").agg(
@@ -312,7 +313,8 @@ def open_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
         .select("group", "node", "n", F.coalesce("component", "node").alias("label"))
     )
     placed = work_table(placed, "near-open")
-    blocks = placed.groupBy("group").agg(F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS)), F.ceil(F.count("*") / F.lit(BLOCK_SETS)))
+    blocks = placed.groupBy("group").agg(blocks.cast("int").alias("blocks"))
     placed = placed.drop("n").join(blocks, "group")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
