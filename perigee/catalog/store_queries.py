@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perigee.catalog import cluster_queries, period_queries
 from perigee.catalog.bindings import (
     EVENTS,
+    LINEITEM,
     Query,
+    approaches,
     approaches_sql,
     as_document,
     document_rows_sql,
@@ -23,13 +26,16 @@ from perigee.catalog.bindings import (
 from perigee.operators.days import newest_per_day
 from perigee.operators.union import union_stores
 from perigee.plans import jobs
+from perigee.plans.ingest import NO_DOCUMENT, FeedErrors
+from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS, OBJECTS
 from perigee.schema import APPROACH_COLUMNS
 from perigee.session import work_dir
 from perigee.sinks.days import write_days
 from perigee.sinks.feed import publish_files
+from perigee.sinks.files import remove
 from perigee.sinks.marts import register_table, write_mart
-from perigee.sources.feed import read_feed
-from perigee.sources.stores import read_days, read_union
+from perigee.sources.feed import read_feed, stream_feed
+from perigee.sources.stores import read_days, read_plain_days, read_union
 
 COLUMNS = ", ".join(APPROACH_COLUMNS)
 EVENTS_SQL = approaches_sql("events", EVENTS)
@@ -38,7 +44,14 @@ EVENTS_SQL = approaches_sql("events", EVENTS)
 HIST_END = date(2024, 1, 20)
 LIVE_START = date(2024, 1, 18)
 NEW_START = date(2024, 1, 26)
-AS_OF = date(2023, 12, 15)
+
+# Line items are stored by the month they ship in, which keeps the partitions of seven years few.
+OLD_END = date(1998, 9, 1)
+RECENT_START = date(1998, 7, 1)
+REMOVED = date(2000, 3, 1)
+NEWEST_START = date(2001, 1, 1)
+AS_OF = date(1998, 12, 15)
+FEED_MONTH = "CAST(date_trunc('month', l_shipdate) AS DATE)"
 
 
 # --- union ----------------------------------------------------------------------------------
@@ -136,25 +149,79 @@ SELECT '{"id":"' || event_id || '","name":"' || event_type || '"}' AS value FROM
 """
 
 
+def _backfill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second day is landed: the others are reported, and the job fails when the landed ones are stored."""
+    root = work_dir(spark, "missing")
+    rows = spread(events_approaches(spark, sf_dir).filter(F.day("feed_date") % 2 == 0), "id")
+    publish_files(documents(rows, as_document(F.col("feed_date"))), f"{root}/landing")
+    try:
+        jobs.backfill(spark, f"{root}/landing", f"{root}/hist", date(2024, 1, 1), HIST_END)
+    except FeedErrors:
+        pass
+    stored = read_days(spark, f"{root}/hist", partitions=True).select(F.make_date("year", "month", "day").alias("feed_date"))
+    return stored.distinct().withColumn("reason", F.lit(None).cast("string")).unionByName(
+        spark.read.parquet(f"{root}/hist_errors").select("feed_date", "reason")
+    )
+
+
+_BACKFILL_MISSING_SQL = f"""
+WITH d AS (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '{HIST_END + timedelta(days=1)}', INTERVAL 1 DAY)) AS DATE) AS d),
+landed AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE day(ts) % 2 = 0)
+SELECT d.d AS feed_date, CASE WHEN landed.d IS NULL THEN '{NO_DOCUMENT}' END AS reason FROM d LEFT JOIN landed ON d.d = landed.d
+"""
+
+
+def _live_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream takes two files a batch; what is stored does not depend on it."""
+    root = work_dir(spark, "limited")
+    _land(spark, sf_dir, f"{root}/landing")
+    jobs.live(spark, stream_feed(spark, f"{root}/landing", max_files=2), f"{root}/live", f"{root}/checkpoint")
+    return read_days(spark, f"{root}/live").select(F.count("*").alias("n"), F.count_distinct("close_approach_date").alias("days"))
+
+
+_LIVE_LIMITED_SQL = "SELECT 2 * count(DISTINCT CAST(ts AS DATE)) AS n, count(DISTINCT CAST(ts AS DATE)) AS days FROM events"
+
+
+def _relayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of several lines, a file each, relayed as messages of one line."""
+    root = work_dir(spark, "relayed")
+    text = F.expr("concat('{\\n\"id\": ', c_custkey % 40, ',\\r\\n \"name\": \"', c_mktsegment, '\"\\n}\\n')")
+    rows = table(spark, sf_dir, "customer").select(text.alias("value")).distinct()
+    rows.withColumn("file", F.md5("value")).repartition("file").write.partitionBy("file").text(f"{root}/landing")
+    jobs.relay(spark, f"{root}/landing", partial(publish_files, path=f"{root}/messages"), whole_files=True)
+    return read_feed(spark, f"{root}/messages").select("value")
+
+
+_RELAYED_SQL = """
+SELECT DISTINCT '{ "id": ' || (c_custkey % 40) || ',  "name": "' || c_mktsegment || '" }' AS value FROM customer
+"""
+
+
 # --- marts and jobs -------------------------------------------------------------------------
 
 
+def _lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return approaches(table(spark, sf_dir, "lineitem"), LINEITEM, F.expr(FEED_MONTH).alias("feed_date"))
+
+
 def _stores(spark: SparkSession, sf_dir: str, root: str, live_end: date | None = None) -> tuple[str, str]:
-    rows = events_approaches(spark, sf_dir)
-    newer = rows.filter(F.col("feed_date") >= F.lit(LIVE_START))
+    rows = _lineitems(spark, sf_dir)
+    newer = rows.filter(F.col("feed_date") >= F.lit(RECENT_START))
     if live_end:
         newer = newer.filter(F.col("feed_date") <= F.lit(live_end))
-    write_days(rows.filter(F.col("feed_date") <= F.lit(HIST_END)), f"{root}/hist")
+    write_days(rows.filter(F.col("feed_date") <= F.lit(OLD_END)), f"{root}/hist")
     write_days(newer, f"{root}/live")
     return f"{root}/hist", f"{root}/live"
 
 
+_LINEITEM_DATED_SQL = approaches_sql("lineitem", LINEITEM, f"{FEED_MONTH} AS feed_date, ")
 _STORES_SQL = f"""
-WITH e AS ({EVENTS_SQL})
-SELECT {COLUMNS} FROM e WHERE close_approach_date <= DATE '{HIST_END}'
+WITH e AS ({_LINEITEM_DATED_SQL})
+SELECT {COLUMNS} FROM e WHERE feed_date <= DATE '{OLD_END}'
 UNION ALL
-SELECT {COLUMNS} FROM e WHERE close_approach_date >= DATE '{LIVE_START}'
+SELECT {COLUMNS} FROM e WHERE feed_date >= DATE '{RECENT_START}'
 """
+_STORES_REMOVED_SQL = f"{_STORES_SQL} AND feed_date <> DATE '{REMOVED}'"
 
 
 def _union_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,75 +230,51 @@ def _union_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_union(spark, f"{root}/union")
 
 
-# What identifies a row of each mart, its count, and one more number to compare if it has one.
-_APPROACH, _KPI, _CLUSTER = "close-approach-analysis", "kpi", "clustering-based-analysis"
-MART_COLUMNS = {
-    f"{_APPROACH}/asteroid_monthly_average_close_approaches": (
-        ("Month",),
-        "Close_Approaches_Count",
-        "Avg_Monthly_Approaches",
-    ),
-    f"{_APPROACH}/asteroid_yearly_average_close_approaches": (("Year",), "Total_Approaches", "Avg_Yearly_Approaches"),
-    f"{_APPROACH}/asteroid_monthly_no_close_approaches": (("Month",), "Total_Approaches", None),
-    f"{_APPROACH}/asteroid_yearly_no_close_approach": (("Year",), "Total_Approaches", None),
-    f"{_APPROACH}/asteroid_monthly_trend_analysis": (("Month",), "Total_Approaches", "MoM_Change"),
-    f"{_APPROACH}/asteroid_yearly_trend": (("Year",), "Total_Approaches", "YoY_Change"),
-    f"{_KPI}/total_close_approaches": ((), "Total_Close_Approaches", None),
-    f"{_KPI}/monthly_avg_close_approaches": (("Month",), "Close_Approaches_Count", "Avg_Monthly_Close_Approaches"),
-    f"{_KPI}/yearly_avg_close_approaches": (("Year",), "Close_Approaches_Count", "Avg_Yearly_Close_Approaches"),
-    f"{_KPI}/peak_month": (("Month",), "Close_Approaches_Count", None),
-    f"{_KPI}/peak_year": (("Year",), "Close_Approaches_Count", None),
-    f"{_KPI}/monthly_change": (("Month",), "Close_Approaches_Count", "Month_Change"),
-    f"{_KPI}/yearly_change": (("Year",), "Close_Approaches_Count", "Year_Change"),
-    f"{_CLUSTER}/asteroid_hazardous_close_approach_clusters": (
-        ("hazard_cluster", "approach_cluster"),
-        "num_asteroids",
-        None,
-    ),
-    f"{_CLUSTER}/asteroid_size_velocity_cluster": (
-        ("size_cluster", "velocity_cluster"),
-        "num_asteroids",
-        "avg_velocity",
-    ),
-    f"{_CLUSTER}/asteroid_distance_orbit_body_clusters": (
-        ("orbiting_body", "distance_cluster"),
-        "num_asteroids",
-        "avg_miss_distance",
-    ),
-    f"{_CLUSTER}/clustered_asteroids_by_magnitude_and_diameter": (
-        ("magnitude_cluster", "diameter_cluster"),
-        "num_asteroids",
-        "avg_absolute_magnitude",
-    ),
-}
+def _mart_columns(name: str) -> tuple[list[str], list[str]]:
+    """Columns of a mart that are compared as text, and those compared as numbers: together, all it has."""
+    if name in CLUSTER_MARTS:
+        mart = CLUSTER_MARTS[name]
+        extremes = [*mart.minima, *mart.maxima]
+        dates = [c for c in extremes if {**mart.minima, **mart.maxima}[c] == "approach"]
+        return [*mart.keys, *dates], [OBJECTS, *mart.averages, *(c for c in extremes if c not in dates)]
+    given = {**APPROACH_MARTS, **KPI_MARTS}[name].keywords
+    period = [g for g in ("Month", "Year") if g.lower() == given.get("grain") or f"_{g.lower()}ly_a" in f"_{name.split('/')[1]}"]
+    return period[:1], [given[c] for c in ("n", "average", "previous", "change") if c in given]
+
+
+_MARTS = (*APPROACH_MARTS, *KPI_MARTS, *CLUSTER_MARTS)
+_NUMBERS = max(len(_mart_columns(name)[1]) for name in _MARTS)
 
 
 def _mart_rows(spark: SparkSession, out: str) -> DataFrame:
-    """All marts in one table: name, row label, count, and the other number."""
+    """All marts in one table, with every column: text columns put together, and the numbers."""
 
     def picked(name: str) -> DataFrame:
-        labels, n, number = MART_COLUMNS[name]
-        other = F.col(number) if number else F.lit(None)
-        return spark.read.parquet(f"{out}/{name}").select(
+        mart = spark.read.parquet(f"{out}/{name}")
+        texts, numbers = _mart_columns(name)
+        if {*texts, *numbers} != {*mart.columns}:
+            raise ValueError(f"{name} has {mart.columns}")
+        given = [F.round(F.col(c).cast("double"), 6) for c in numbers] + [F.lit(None).cast("double")] * _NUMBERS
+        return mart.select(
             F.lit(name).alias("mart"),
-            F.concat_ws("|", *(F.col(label).cast("string") for label in labels)).alias("label"),
-            F.col(n).alias("n"),
-            F.round(other.cast("double"), 6).alias("number"),
+            F.concat_ws("|", F.lit(""), *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in texts)).alias("label"),
+            *(value.alias(f"number_{i}") for i, value in enumerate(given[:_NUMBERS])),
         )
 
-    return reduce(DataFrame.unionByName, map(picked, MART_COLUMNS))
+    return reduce(DataFrame.unionByName, map(picked, _MARTS))
 
 
-def _mart_rows_sql() -> str:
-    sql = {**period_queries.mart_sql(_STORES_SQL), **cluster_queries.mart_sql(_STORES_SQL, AS_OF)}
+def _mart_rows_sql(stores: str = _STORES_SQL) -> str:
+    sql = {**period_queries.mart_sql(stores), **cluster_queries.mart_sql(stores, AS_OF)}
 
     def picked(name: str) -> str:
-        labels, n, number = MART_COLUMNS[name]
-        label = " || '|' || ".join(f"CAST({label} AS VARCHAR)" for label in labels) or "''"
-        other = f"round(CAST({number} AS DOUBLE), 6)" if number else "CAST(NULL AS DOUBLE)"
-        return f"SELECT '{name}' AS mart, {label} AS label, {n} AS n, {other} AS number FROM ({sql[name]}) AS s"
+        texts, numbers = _mart_columns(name)
+        label = " || ".join(["''", *(f"'|' || coalesce(CAST({c} AS VARCHAR), '-')" for c in texts)])
+        given = [f"round(CAST({c} AS DOUBLE), 6)" for c in numbers] + ["CAST(NULL AS DOUBLE)"] * _NUMBERS
+        values = ", ".join(f"{value} AS number_{i}" for i, value in enumerate(given[:_NUMBERS]))
+        return f"SELECT '{name}' AS mart, {label} AS label, {values} FROM ({sql[name]}) AS s"
 
-    return " UNION ALL ".join(map(picked, MART_COLUMNS))
+    return " UNION ALL ".join(map(picked, _MARTS))
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,10 +286,21 @@ def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full run, then the newest days arrive and only they are taken in."""
     root = work_dir(spark, "refresh")
-    hist, live = _stores(spark, sf_dir, root, live_end=NEW_START - timedelta(days=1))
+    hist, live = _stores(spark, sf_dir, root, live_end=NEWEST_START - timedelta(days=1))
+    jobs.daily(spark, hist, live, f"{root}/out", AS_OF)
+    write_days(_lineitems(spark, sf_dir).filter(F.col("feed_date") >= F.lit(NEWEST_START)), live)
+    jobs.daily(spark, hist, live, f"{root}/out", AS_OF, start=NEWEST_START)
+    return _mart_rows(spark, f"{root}/out")
+
+
+def _daily_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full run, then a stored day goes, and the days around it are taken in again."""
+    root = work_dir(spark, "removed")
+    hist, live = _stores(spark, sf_dir, root)
     jobs.daily(spark, hist, live, f"{root}/out", AS_OF)
-    write_days(events_approaches(spark, sf_dir).filter(F.col("feed_date") >= F.lit(NEW_START)), live)
-    jobs.daily(spark, hist, live, f"{root}/out", AS_OF, start=NEW_START)
+    remove(spark, f"{live}/year={REMOVED.year}/month={REMOVED.month}/day={REMOVED.day}")
+    around = timedelta(days=40)
+    jobs.daily(spark, hist, live, f"{root}/out", AS_OF, start=REMOVED - around, end=REMOVED + around)
     return _mart_rows(spark, f"{root}/out")
 
 
@@ -260,6 +314,35 @@ def _mart_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart_rows(spark, f"{root}/out")
 
 
+def _takeover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plain store of a file a year, in which magnitudes are whole numbers in some files and fractions in others."""
+    root = work_dir(spark, "plain")
+    rows = _lineitems(spark, sf_dir).withColumn("y", F.year("feed_date"))
+    magnitude = F.col("absolute_magnitude_h")
+    for year in range(1995, 2002):
+        own = rows.filter(F.col("y") == year).select(*APPROACH_COLUMNS).coalesce(1)
+        if year % 2 == 0:
+            own = own.withColumn("absolute_magnitude_h", F.floor(magnitude).cast("bigint"))
+        own.write.parquet(f"{root}/{year}/01/01.parquet")
+    return read_plain_days(spark, root)
+
+
+_TAKEOVER_SQL = f"""
+WITH e AS ({_LINEITEM_DATED_SQL})
+SELECT {COLUMNS.replace("absolute_magnitude_h", "CASE WHEN year(feed_date) % 2 = 0 THEN floor(absolute_magnitude_h) ELSE absolute_magnitude_h END AS absolute_magnitude_h")},
+       CAST(year(feed_date) AS INTEGER) AS "year", CAST(1 AS INTEGER) AS "month", CAST(1 AS INTEGER) AS "day"
+FROM e WHERE year(feed_date) BETWEEN 1995 AND 2001
+"""
+
+
+def _table_rows(spark: SparkSession, name: str) -> DataFrame:
+    """Rows of a table whose entry goes; its files stay and are read."""
+    rows = spark.table(name)
+    rows.schema  # resolved while the entry is there
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 def _registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart written, registered, replaced, and read by its table name."""
     path = work_dir(spark, "registered")
@@ -269,12 +352,41 @@ def _registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_table(spark, name, path)
     write_mart(counts, path)
     register_table(spark, name, path)
-    return spark.table(name)
+    return _table_rows(spark, name)
+
+
+def _registered_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table registered for one path and set of columns, then for another."""
+    path = work_dir(spark, "moved")
+    name = f"perigee_moved_{path.rsplit('-', 1)[1]}"
+    counts = period_queries.period_counts(table(spark, sf_dir, "orders"), "o_orderdate", "month")
+    write_mart(counts.select("n").filter(F.col("n") > 100), f"{path}/old")
+    register_table(spark, name, f"{path}/old")
+    write_mart(counts, f"{path}/new")
+    register_table(spark, name, f"{path}/new")
+    return _table_rows(spark, name)
+
+
+def _mart_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart written once; a second write that must not replace it is refused, and one that may empties it first."""
+    path = work_dir(spark, "refused")
+    counts = period_queries.period_counts(table(spark, sf_dir, "orders"), "o_orderdate", "month")
+    write_mart(counts.limit(0), f"{path}/emptied")
+    for name in ("kept", "emptied"):
+        write_mart(counts, f"{path}/{name}", mode="error" if name == "kept" else "overwrite")
+    try:
+        write_mart(counts.limit(0), f"{path}/kept", mode="error")
+    except AnalysisException:
+        pass
+    return spark.read.parquet(f"{path}/kept").unionByName(spark.read.parquet(f"{path}/emptied"))
 
 
 _REGISTERED_SQL = period_queries.counts_sql("SELECT o_orderdate FROM orders", "o_orderdate", "month") + (
     'SELECT period, yr AS "year", n FROM c'
 )
+_REFUSED_SQL = period_queries.counts_sql("SELECT o_orderdate FROM orders", "o_orderdate", "month") + (
+    'SELECT period, yr AS "year", n FROM c UNION ALL SELECT period, yr AS "year", n FROM c'
+)
 
 QUERIES: dict[str, Query] = {
     "union_overlap": Query(_union_overlap, _UNION_SQL),
@@ -283,9 +395,16 @@ QUERIES: dict[str, Query] = {
     "publish_documents": Query(_published, _PUBLISHED_SQL),
     "backfill_job": Query(_backfill, _last_of_day_sql(HIST_END)),
     "live_job": Query(_live, _last_of_day_sql()),
+    "backfill_missing_days": Query(_backfill_missing, _BACKFILL_MISSING_SQL),
+    "live_job_file_limit": Query(_live_limited, _LIVE_LIMITED_SQL),
+    "relay_whole_files": Query(_relayed, _RELAYED_SQL),
+    "plain_store_takeover": Query(_takeover, _TAKEOVER_SQL),
     "union_job": Query(_union_job, _STORES_SQL),
     "mart_jobs": Query(_mart_jobs, _mart_rows_sql()),
     "daily_job": Query(_daily, _mart_rows_sql()),
     "daily_job_refresh": Query(_daily_refresh, _mart_rows_sql()),
+    "daily_job_refresh_removed_day": Query(_daily_removed, _mart_rows_sql(_STORES_REMOVED_SQL)),
     "registered_mart": Query(_registered, _REGISTERED_SQL),
+    "registered_mart_moved": Query(_registered_moved, _REGISTERED_SQL),
+    "mart_refused": Query(_mart_refused, _REFUSED_SQL),
 }

@@ -53,7 +53,7 @@ def read_plain_days(spark: SparkSession, root: str) -> DataFrame:
 
     For taking over an existing store. Types were inferred file by file, so a column may be whole numbers in
     one and fractions in the next: each file is read by its own types, in a task, and cast to the fixed ones. A value
-    that does not fit fails the read; a column a file does not have is null. `year, month, day` come from the path.
+    that does not fit fails the read; a column a file does not have is null. `year, month, day` come from the path; a day may also be a folder with files of Spark's naming.
     """
     kinds = {"string": pa.string(), "double": pa.float64(), "boolean": pa.bool_(), "date": pa.date32(), "bigint": pa.int64()}
     fields = [(name, kinds[kind]) for name, _, kind in APPROACH_FIELDS]
@@ -71,7 +71,7 @@ def read_plain_days(spark: SparkSession, root: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/*/*/*").select("path", "content")
     schema = T.StructType([*APPROACH_SCHEMA.fields, T.StructField("path", T.StringType())])
-    day = r"(\d+)/(\d+)/(\d+)\.parquet$"
+    day = r"(\d+)/(\d+)/(\d+)\.parquet(?:/part-[^/]*)?$"
     return files.mapInArrow(read, schema).select(
         *APPROACH_COLUMNS,
         *(F.regexp_extract("path", day, index).cast("int").alias(name) for index, name in enumerate(DAY_PARTITIONS, start=1)),
