@@ -101,7 +101,7 @@ FROM a WHERE close_approach_date BETWEEN DATE '{LIVE_START}' AND DATE '{HIST_END
 # --- documents to day store -----------------------------------------------------------------
 
 
-def _land(spark: SparkSession, sf_dir: str, landing: str) -> None:
+def land(spark: SparkSession, sf_dir: str, landing: str) -> None:
     """Publish a document per event, then the last one of each day once more.
 
     Of a day's documents the newest counts, so the day store ends up with the last event of
@@ -115,7 +115,7 @@ def _land(spark: SparkSession, sf_dir: str, landing: str) -> None:
 
 def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "backfill")
-    _land(spark, sf_dir, f"{root}/landing")
+    land(spark, sf_dir, f"{root}/landing")
     jobs.backfill(spark, f"{root}/landing", f"{root}/hist", date(2024, 1, 1), HIST_END)
     return read_days(spark, f"{root}/hist")
 
@@ -123,7 +123,7 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream takes all documents, and a second run finds nothing new."""
     root = work_dir(spark, "live")
-    _land(spark, sf_dir, f"{root}/landing")
+    land(spark, sf_dir, f"{root}/landing")
     for _ in range(2):
         jobs.live(spark, f"{root}/landing", f"{root}/live", f"{root}/checkpoint")
     return read_days(spark, f"{root}/live")
@@ -174,7 +174,7 @@ SELECT d.d AS feed_date, CASE WHEN landed.d IS NULL THEN '{NO_DOCUMENT}' END AS
 def _live_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream takes two files a batch; what is stored does not depend on it."""
     root = work_dir(spark, "limited")
-    _land(spark, sf_dir, f"{root}/landing")
+    land(spark, sf_dir, f"{root}/landing")
     jobs.live(spark, stream_feed(spark, f"{root}/landing", max_files=2), f"{root}/live", f"{root}/checkpoint")
     return read_days(spark, f"{root}/live").select(F.count("*").alias("n"), F.count_distinct("close_approach_date").alias("days"))
 
@@ -204,7 +204,7 @@ def _lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return approaches(table(spark, sf_dir, "lineitem"), LINEITEM, F.expr(FEED_MONTH).alias("feed_date"))
 
 
-def _stores(spark: SparkSession, sf_dir: str, root: str, live_end: date | None = None) -> tuple[str, str]:
+def stores(spark: SparkSession, sf_dir: str, root: str, live_end: date | None = None) -> tuple[str, str]:
     rows = _lineitems(spark, sf_dir)
     newer = rows.filter(F.col("feed_date") >= F.lit(RECENT_START))
     if live_end:
@@ -226,7 +226,7 @@ _STORES_REMOVED_SQL = f"{_STORES_SQL} AND feed_date <> DATE '{REMOVED}'"
 
 def _union_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "union")
-    jobs.union(spark, *_stores(spark, sf_dir, root), f"{root}/union")
+    jobs.union(spark, *stores(spark, sf_dir, root), f"{root}/union")
     return read_union(spark, f"{root}/union")
 
 
@@ -279,14 +279,14 @@ def _mart_rows_sql(stores: str = _STORES_SQL) -> str:
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "daily")
-    jobs.daily(spark, *_stores(spark, sf_dir, root), f"{root}/out", AS_OF)
+    jobs.daily(spark, *stores(spark, sf_dir, root), f"{root}/out", AS_OF)
     return _mart_rows(spark, f"{root}/out")
 
 
 def _daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full run, then the newest days arrive and only they are taken in."""
     root = work_dir(spark, "refresh")
-    hist, live = _stores(spark, sf_dir, root, live_end=NEWEST_START - timedelta(days=1))
+    hist, live = stores(spark, sf_dir, root, live_end=NEWEST_START - timedelta(days=1))
     jobs.daily(spark, hist, live, f"{root}/out", AS_OF)
     write_days(_lineitems(spark, sf_dir).filter(F.col("feed_date") >= F.lit(NEWEST_START)), live)
     jobs.daily(spark, hist, live, f"{root}/out", AS_OF, start=NEWEST_START)
@@ -296,7 +296,7 @@ def _daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _daily_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full run, then a stored day goes, and the days around it are taken in again."""
     root = work_dir(spark, "removed")
-    hist, live = _stores(spark, sf_dir, root)
+    hist, live = stores(spark, sf_dir, root)
     jobs.daily(spark, hist, live, f"{root}/out", AS_OF)
     remove(spark, f"{live}/year={REMOVED.year}/month={REMOVED.month}/day={REMOVED.day}")
     around = timedelta(days=40)
@@ -307,7 +307,7 @@ def _daily_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mart_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three mart jobs, each on its own from the union table."""
     root = work_dir(spark, "marts")
-    jobs.union(spark, *_stores(spark, sf_dir, root), f"{root}/union")
+    jobs.union(spark, *stores(spark, sf_dir, root), f"{root}/union")
     jobs.approach_marts(spark, f"{root}/union", f"{root}/out")
     jobs.cluster_marts(spark, f"{root}/union", f"{root}/out", AS_OF)
     jobs.kpi_marts(spark, f"{root}/union", f"{root}/out")

@@ -38,12 +38,19 @@ def profile_parts(
     extremes: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Per group: `row_count`, `id_count`, `<measure>_sum`, `_count`, `_min`, `_max`; of `extremes` the last two."""
+    return df.groupBy(*(key.alias(name) for name, key in keys.items())).agg(*part_columns(id_col, measures, extremes))
+
+
+def part_columns(
+    id_col: str, measures: Mapping[str, str], extremes: Mapping[str, str] | None = None
+) -> list[Column]:
+    """The aggregates that parts consist of."""
     parts = [F.count(F.lit(1)).alias("row_count"), F.count(id_col).alias("id_count")]
     for measure, column in measures.items():
         parts += [F.sum(column).alias(f"{measure}_sum"), F.count(column).alias(f"{measure}_count")]
     for measure, column in {**measures, **(extremes or {})}.items():
         parts += [F.min(column).alias(f"{measure}_min"), F.max(column).alias(f"{measure}_max")]
-    return df.groupBy(*(key.alias(name) for name, key in keys.items())).agg(*parts)
+    return parts
 
 
 def merge_parts(parts: DataFrame, keys: Mapping[str, Column]) -> DataFrame:

@@ -44,6 +44,9 @@ BANDS = {
 HAZARD = ("Hazardous", "Non-Hazardous")
 HORIZON = ("Near Future", "Far Future")
 HORIZON_MONTHS = 1
+# The label that moves with time, and the column that says which mart's labels a row of the rollup is grouped by.
+MOVING = "approach_cluster"
+SUMMARY = "summary"
 
 
 def hazard_label() -> Column:
@@ -64,11 +67,13 @@ def band_labels() -> dict[str, Column]:
 
 
 def day_counts(approaches: DataFrame, weight: str | None = None) -> DataFrame:
-    """Day-grain period table of approach rows, or of the rollup with its `row_count` as weight.
+    """Day-grain period table of approach rows, or of the rollup's dated rows with their `row_count` as weight.
 
     The counting is spread as usual; its result, one row per calendar day, then goes to one
     partition, where coarser groupings and windows need no further shuffle.
     """
+    if SUMMARY in approaches.columns:
+        approaches = approaches.filter(F.col(SUMMARY).contains(MOVING))
     return period_counts(approaches, DATE, "day", weight).repartition(1)
 
 
@@ -200,6 +205,10 @@ CLUSTER_MARTS: Mapping[str, ClusterMart] = {
 OBJECTS = "num_asteroids"
 
 
+def summary_name(mart: ClusterMart) -> str:
+    return " ".join(mart.keys.values())
+
+
 def _in_order(df: DataFrame, mart: ClusterMart) -> DataFrame:
     summaries = [name for pair in (mart.averages, mart.minima, mart.maxima) for name in pair]
     return df.select(*mart.keys, OBJECTS, *summaries).orderBy(*mart.keys)
@@ -235,6 +244,8 @@ def cluster_parts(approaches: DataFrame, as_of: date | None = None) -> DataFrame
 
 
 def cluster_mart_from_parts(mart: ClusterMart, parts: DataFrame) -> DataFrame:
-    """The same mart from `cluster_parts`, so that one scan serves all four."""
+    """The same mart from `cluster_parts` or from the rollup's parts, so that one scan serves all four."""
+    if SUMMARY in parts.columns:
+        parts = parts.filter(F.col(SUMMARY) == summary_name(mart))
     keys = {name: F.col(label) for name, label in mart.keys.items()}
     return _in_order(merge_profile(parts, keys, OBJECTS, mart.averages, mart.minima, mart.maxima), mart)
