@@ -135,25 +135,24 @@ def mix_sources(
     and rows with one id are taken alike. A null text has size 0; a null source is a source.
     An empty table gives an empty one; columns of `docs` with the names added here are replaced.
     """
-    own = ["size", "hash", "source_size", "target", "copies", "taken", "threshold"]
-    docs = docs.drop(*own)
+    docs = docs.drop("size", "source_size", "target", "copies", "taken")
     size, key = word_count(F.col("text")), document_hash(F.col("doc_id"), F.col("text"))
     sized = work_table(docs.select("source", size.alias("size"), key.alias("hash")), "mix-sizes")
     thresholds = source_thresholds(sized, weights, share, most).alias("t")
     joined = (
-        docs.withColumns({"size": size, "hash": key})
+        docs.withColumns({"__size": size, "__hash": key})
         .alias("d")
         .join(thresholds, F.col("d.source").eqNullSafe(F.col("t.source")))
     )
-    extra = F.when((F.col("hash") < F.col("threshold")) & (F.col("t.copies") < F.lit(most)), 1).otherwise(0)
+    extra = F.when((F.col("d.__hash") < F.col("t.threshold")) & (F.col("t.copies") < F.lit(most)), 1).otherwise(0)
     copies = F.col("t.copies") + extra
     return joined.select(
         *(f"d.`{name}`" for name in docs.columns),
-        "size",
-        "source_size",
-        "target",
+        F.col("d.__size").alias("size"),
+        "t.source_size",
+        "t.target",
         copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        (copies * F.col("d.__size")).alias("taken"),
     )
 
 

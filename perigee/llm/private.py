@@ -233,11 +233,11 @@ def sanitise(docs: DataFrame) -> DataFrame:
     )
     after = F.lag("end", 1, 0).over(Window.partitionBy("key").orderBy("start"))
     cuts = merged.withColumn("after", after).groupBy("key").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "after", "label"))).alias("cuts")
+        F.array_sort(F.collect_list(F.struct("start", "end", "after", "label"))).alias("__cuts")
     )
-    kept = F.transform("cuts", lambda c: F.concat(F.substr("text", c["after"] + 1, c["start"] - c["after"]), c["label"]))
-    rest = F.substr("text", F.element_at("cuts", -1)["end"] + 1)
-    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), rest))
+    kept = F.transform("__cuts", lambda c: F.concat(F.substr("text", c["after"] + 1, c["start"] - c["after"]), c["label"]))
+    rest = F.substr("text", F.element_at("__cuts", -1)["end"] + 1)
+    text = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(F.concat(F.array_join(kept, ""), rest))
     joined = docs.withColumn("__key", document_key()).join(cuts.withColumnRenamed("key", "__key"), "__key", "left")
     return joined.select(*(text.alias(name) if name == "text" else F.col(f"`{name}`") for name in docs.columns))
 
