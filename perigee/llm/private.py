@@ -150,7 +150,9 @@ def disclosing_terms(docs: DataFrame, values: DataFrame) -> DataFrame:
     """value, term and `share`, the part of the value's information that the term gives, from GENERALISE on.
 
     Counts are of documents, and go over all of them: how many there are, how many have the value, the term, the
-    term near the value. A term needs SUPPORT different contexts of the value and as many documents.
+    term near the value. A term needs SUPPORT different contexts of the value and as many documents. Rows
+    repeated with their id and text are one document near a value, but each counts as one that has a term, which
+    makes a term disclose less.
     """
     near = work_table(_terms(values), "private-terms")
     together = near.groupBy("value", "term").agg(
@@ -159,11 +161,9 @@ def disclosing_terms(docs: DataFrame, values: DataFrame) -> DataFrame:
     together = work_table(together.filter(F.least("both", "contexts") >= SUPPORT), "private-pairs")
     having = values.select("key", F.xxhash64("kind", F.lower("value")).alias("value")).distinct()
     having = having.groupBy("value").agg(F.count("*").alias("with_value"))
-    total = docs.select(document_key()).distinct().count()
-    words = docs.select(document_key().alias("key"), F.explode(F.array_distinct(_hits(F.lower("text"), TERM))).alias("term"))
-    wanted = together.select("term").distinct()
-    words = _thinned(words, F.xxhash64("term"), wanted.select(F.xxhash64("term").alias("hash")))
-    counts = words.distinct().groupBy("term").agg(F.count("*").alias("with_term"))
+    total = docs.count()
+    words = docs.select(F.explode(F.array_distinct(_hits(F.lower("text"), TERM))).alias("term"))
+    counts = words.groupBy("term").agg(F.count("*").alias("with_term"))
     shares = together.join(counts, "term").join(having, "value")
     information = F.log2(F.lit(float(max(total, 1))) / F.col("with_value"))
     shared = F.log2(F.lit(float(max(total, 1))) * F.col("both") / (F.col("with_term") * F.col("with_value")))
