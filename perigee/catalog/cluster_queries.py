@@ -158,7 +158,36 @@ _SQ = _summaries(quantity="l_quantity", price="l_extendedprice")
 _BD = _summaries(tax="l_tax")
 _MD = _summaries(size="p_size", price="p_retailprice")
 
+# Days that bring the line items' dates to both sides of today.
+TODAY_SHIFT = 10_300
+
 QUERIES: dict[str, Query] = {
+    "profile_horizon_today": Query(
+        _profiled(
+            "lineitem",
+            lambda: {
+                "returned": flag_label(F.col("l_returnflag") == "R", "yes", "no"),
+                "horizon": horizon_label(F.date_add(F.col("l_shipdate").cast("date"), TODAY_SHIFT), None, 1, "near", "far"),
+            },
+            "l_orderkey",
+            None,
+            {"first": "l_shipdate"},
+            {"last": "l_shipdate"},
+        ),
+        profile_sql(
+            "SELECT * FROM lineitem",
+            {
+                "returned": flag_sql("l_returnflag = 'R'", "yes", "no"),
+                "horizon": f"CASE WHEN CAST(l_shipdate AS DATE) + {TODAY_SHIFT} <= current_date + INTERVAL 1 MONTH "
+                "THEN 'near' ELSE 'far' END",
+            },
+            "l_orderkey",
+            "n",
+            None,
+            {"first": "l_shipdate"},
+            {"last": "l_shipdate"},
+        ),
+    ),
     "profile_flag_horizon": Query(
         _profiled(
             "lineitem",
