@@ -1,10 +1,10 @@
 """Personal data, and terms that would give it away.
 
-Emails, addresses, cards and phones are found by pattern. Terms that stand near such a value are then
+Emails, addresses, cards and phones are found by pattern. All terms of the texts that hold such a value are then
 measured by what they disclose of it: the pointwise mutual information of term and value, counted over
-the documents of the corpus, as a share of the value's own information. A term that hardly occurs but near
-the value has a share near 1. Beyond one threshold terms are generalised, beyond another removed. Everything is
-DataFrame functions.
+the different texts of the corpus, as a share of the value's own information. A term that hardly occurs but with
+the value has a share near 1; what few texts say is discounted in the estimate. Beyond one threshold terms are
+generalised, beyond another removed. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -33,10 +33,9 @@ POSSIBLE = {
 }
 KINDS = (*PATTERNS, "term")
 TERM = r"\p{L}{3,}"
-#: Code points on either side of a value, in its line, that are its context.
-CONTEXT = 80
-#: Different contexts of a value in which a term must stand, and documents; copies of one text say nothing.
-SUPPORT = 3
+#: Texts that the estimate of how often a term's texts hold a value adds to those counted, with the value as often as
+#: in the whole corpus. So a term of one text keeps a fifth of its probability, one of forty ten elevenths.
+PRIOR = 4
 #: Shares of a value's information from which a term is generalised, and removed.
 GENERALISE = 0.7
 REMOVE = 0.9
@@ -45,8 +44,8 @@ THIN_VALUES = 1 << 20
 
 
 def document_key() -> Column:
-    """Rows with the same id and text are one document here, so repeated rows get equal results."""
-    return F.xxhash64("doc_id", "text")
+    """Rows with the same text are one document here: they get equal results, and copies count once."""
+    return F.xxhash64("text")
 
 
 def _pieces(text: Column, pattern: str) -> Column:
@@ -58,7 +57,7 @@ def _hits(text: Column, pattern: str) -> Column:
 
 
 def _placed(text: Column, pattern: str, kind: str) -> Column:
-    """Matches with the number of code points between each and the one before, and their contexts."""
+    """Matches with the number of code points between each and the one before."""
     pieces = _pieces(text, pattern)
     return F.transform(
         F.array(pieces),  # split once for all matches
@@ -69,8 +68,6 @@ def _placed(text: Column, pattern: str, kind: str) -> Column:
                 i.alias("i"),
                 F.char_length(F.get(p, i)).alias("gap"),
                 hit.alias("value"),
-                F.right(F.get(p, i), F.lit(CONTEXT)).alias("before"),
-                F.left(F.get(p, i + 1), F.lit(CONTEXT)).alias("after"),
             ),
         ),
     )[0]
@@ -107,9 +104,9 @@ def _spans(matches: DataFrame) -> DataFrame:
 
 
 def find_values(docs: DataFrame) -> DataFrame:
-    """Valid matches in the texts (doc_id, text): key (see `document_key`), kind, value, start, end, before, after."""
+    """Valid matches in the texts (doc_id, text): key (see `document_key`), kind, value, start, end."""
     text = F.col("text")
-    none = F.array().cast("array<struct<kind:string,i:int,gap:int,value:string,before:string,after:string>>")
+    none = F.array().cast("array<struct<kind:string,i:int,gap:int,value:string>>")
     found = [
         F.when(text.rlike(POSSIBLE[kind]), _placed(text, pattern, kind)).otherwise(none)
         for kind, pattern in PATTERNS.items()
@@ -117,26 +114,7 @@ def find_values(docs: DataFrame) -> DataFrame:
     matches = docs.select(document_key().alias("key"), F.inline(F.concat(*found)))
     # Only numbers between a kind's matches count for their places, so rows that are repeated are dropped first.
     placed = _spans(matches.dropDuplicates(["key", "kind", "i"]))
-    return placed.filter(_valid(F.col("kind"), F.col("value"))).select(
-        "key", "kind", "value", "start", "end", "before", "after"
-    )
-
-
-def _terms(values: DataFrame) -> DataFrame:
-    """key, value, context and term: letters-only words near a value, in its line, none cut off."""
-    before = F.substring_index("before", "\n", -1)
-    before = F.when(F.char_length(before) == CONTEXT, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.substring_index("after", "\n", 1)
-    after = F.when(F.char_length(after) == CONTEXT, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    near = F.concat(before, F.lit(" "), after)
-    # What is itself a value, or looks like one, is not a term.
-    bare = F.regexp_replace(near, r"\S*[@0-9]\S*", " ")
-    return values.select(
-        "key",
-        F.xxhash64("kind", F.lower("value")).alias("value"),
-        F.xxhash64(near).alias("context"),
-        F.explode(F.array_distinct(_hits(F.lower(bare), TERM))).alias("term"),
-    )
+    return placed.filter(_valid(F.col("kind"), F.col("value"))).select("key", "kind", "value", "start", "end")
 
 
 def _thinned(rows: DataFrame, column: Column, wanted: DataFrame) -> DataFrame:
@@ -146,31 +124,6 @@ def _thinned(rows: DataFrame, column: Column, wanted: DataFrame) -> DataFrame:
     return marked.join(F.broadcast(wanted.select(kept).distinct()), "__thin", "left_semi").drop("__thin")
 
 
-def disclosing_terms(docs: DataFrame, values: DataFrame) -> DataFrame:
-    """value, term and `share`, the part of the value's information that the term gives, from GENERALISE on.
-
-    Counts are of documents, and go over all of them: how many there are, how many have the value, the term, the
-    term near the value. A term needs SUPPORT different contexts of the value and as many documents. Rows
-    repeated with their id and text are one document near a value, but each counts as one that has a term, which
-    makes a term disclose less.
-    """
-    near = work_table(_terms(values), "private-terms")
-    together = near.groupBy("value", "term").agg(
-        F.count_distinct("key").alias("both"), F.count_distinct("context").alias("contexts")
-    )
-    together = work_table(together.filter(F.least("both", "contexts") >= SUPPORT), "private-pairs")
-    having = values.select("key", F.xxhash64("kind", F.lower("value")).alias("value")).distinct()
-    having = having.groupBy("value").agg(F.count("*").alias("with_value"))
-    total = docs.count()
-    words = docs.select(F.explode(F.array_distinct(_hits(F.lower("text"), TERM))).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("with_term"))
-    shares = together.join(counts, "term").join(having, "value")
-    information = F.log2(F.lit(float(max(total, 1))) / F.col("with_value"))
-    shared = F.log2(F.lit(float(max(total, 1))) * F.col("both") / (F.col("with_term") * F.col("with_value")))
-    share = F.when(information > 0, shared / information)
-    return shares.select("value", "term", share.alias("share")).filter(F.col("share") >= GENERALISE)
-
-
 def _masked(text: Column) -> Column:
     """Text with what the patterns match replaced by as many noughts."""
     for pattern in PATTERNS.values():
@@ -190,19 +143,57 @@ def _masked(text: Column) -> Column:
     return text
 
 
-def find_terms(docs: DataFrame, values: DataFrame) -> DataFrame:
-    """Spans of disclosing terms in the documents that hold the value they give away: key, kind, start, end, share."""
-    flagged = work_table(disclosing_terms(docs, values), "private-flagged")
-    hashed = values.select("key", F.xxhash64("kind", F.lower("value")).alias("value")).distinct()
-    wanted = hashed.join(flagged, "value").groupBy("key", "term").agg(F.max("share").alias("share"))
-    wanted = work_table(wanted, "private-wanted")
-    keys = wanted.select("key").distinct()
+def term_tokens(docs: DataFrame, values: DataFrame) -> DataFrame:
+    """key, term, start and end of all terms of the texts that hold values, without what the patterns match."""
+    keys = values.select("key").distinct()
     keyed = docs.select(document_key().alias("key"), "text")
     texts = _thinned(keyed, F.col("key"), keys).join(keys, "key", "left_semi").dropDuplicates(["key"])
     texts = texts.select("key", _masked(F.col("text")).alias("text"))
     tokens = texts.select("key", F.inline(_placed(F.col("text"), TERM, "term"))).select("key", "kind", "i", "gap", "value")
-    placed = _spans(tokens).withColumn("term", F.lower("value"))
-    return placed.join(wanted, ["key", "term"]).select("key", "kind", "start", "end", "share")
+    return _spans(tokens).select("key", F.lower("value").alias("term"), "start", "end")
+
+
+def value_holders(values: DataFrame) -> DataFrame:
+    """key, holders and with_value: the sets of texts that hold a value, by name and size, of each text.
+
+    Values that the same texts hold have the same terms, so they are measured once, however many a text lists.
+    """
+    held = values.select("key", F.xxhash64("kind", F.lower("value")).alias("value")).distinct()
+    sets = held.groupBy("value").agg(F.count("*").alias("with_value"), F.bit_xor(F.xxhash64("key")).alias("set"))
+    sets = sets.select("value", "with_value", F.xxhash64("with_value", "set").alias("holders"))
+    return held.join(sets, "value").select("key", "holders", "with_value").distinct()
+
+
+def disclosing_terms(docs: DataFrame, values: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """key, term and `share`, the most that the term gives of the information of a value of the text, from GENERALISE on.
+
+    Counts are of different texts, and go over all of them: how many there are, how many have the value, the term,
+    both. Every term of a text with a value is measured, from one text on: how likely the value is where the
+    term stands is estimated with PRIOR further texts of the corpus' own share. `tokens` is what
+    `term_tokens` gives.
+    """
+    tokens = term_tokens(docs, values) if tokens is None else tokens
+    held = tokens.select("key", "term").distinct().join(work_table(value_holders(values), "private-holders"), "key")
+    together = held.groupBy("holders", "term", "with_value").agg(F.count("*").alias("both"))
+    total = float(max(docs.select(document_key()).distinct().count(), 1))
+    texts = docs.select(document_key().alias("key"), "text").dropDuplicates(["key"])
+    words = texts.select(F.explode(F.array_distinct(F.transform(_hits(F.col("text"), TERM), F.lower))).alias("term"))
+    counts = words.groupBy("term").agg(F.count("*").alias("with_term"))
+    # Letters that touch a value can be a term only without it.
+    measured = together.join(counts, "term", "left").withColumn("with_term", F.greatest("with_term", "both"))
+    usual = F.col("with_value") / F.lit(total)
+    given = (F.col("both") + PRIOR * usual) / (F.col("with_term") + PRIOR)
+    share = F.when(usual < 1, F.log2(given / usual) / -F.log2(usual))
+    measured = measured.select("holders", "term", share.alias("share")).filter(F.col("share") >= GENERALISE)
+    flagged = work_table(measured, "private-flagged")
+    return held.join(flagged, ["holders", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
+
+
+def find_terms(docs: DataFrame, values: DataFrame) -> DataFrame:
+    """Spans of disclosing terms in the documents that hold the value they give away: key, kind, start, end, share."""
+    tokens = work_table(term_tokens(docs, values), "private-tokens")
+    wanted = disclosing_terms(docs, values, tokens)
+    return tokens.join(wanted, ["key", "term"]).select("key", F.lit("term").alias("kind"), "start", "end", "share")
 
 
 def find_private(docs: DataFrame) -> DataFrame:

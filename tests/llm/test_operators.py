@@ -334,6 +334,25 @@ def test_terms_that_give_a_value_away(spark):
     assert cleaned[50][0] == rows[-1][1]
 
 
+def test_terms_of_a_value_that_one_document_holds(spark):
+    r = random.Random(7)
+    rows = [(i, prose(r, 40)) for i in range(600)]
+    mail = f"Yours, Quillfeather\n{prose(r, 40)}\nreply to q.f@mail.org"
+    rows += [(700, mail), (701, "Write to o.n@mail.org\nhere about Umbrellastand")]
+    rows += [(800 + i, f"Copied Marmalade to m.m@mail.org {rows[0][1]}") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    values = private.find_values(frame)
+    shares = {row.term: row.share for row in private.disclosing_terms(frame, values).collect()}
+    # On other lines than the value, and counted once for all copies of a text.
+    assert {"quillfeather", "umbrellastand", "marmalade"} <= {*shares}
+    assert shares["marmalade"] == shares["quillfeather"]
+    assert not {*shares} & {*VOCABULARY[:5]}
+    found = frame.select("doc_id", private.document_key().alias("key")).join(private.find_private(frame), "key")
+    assert {row.doc_id for row in found.filter("kind = 'term'").collect()} == {700, 701, *range(800, 830)}
+    cleaned = by_id(private.sanitise(frame), "text")
+    assert cleaned[700][0] == f"[TERM], [TERM]\n{rows[600][1].split(chr(10))[1]}\n[TERM] to [EMAIL]"
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href="/">Home</a></li><li><a href="/x">News, and more, of it</a></li></ul></nav>
 <div class="cookie-notice">We use cookies. Please agree, or not.</div>
