@@ -226,6 +226,21 @@ def test_line_signatures_find_nearly_all_near_pairs(spark):
     assert found >= 0.95 * len(pairs)
 
 
+def test_open_buckets_are_compared_wholly(spark, monkeypatch):
+    r = random.Random(12)
+    monkeypatch.setattr(lines, "BLOCK_LINES", 7)
+    bases = [prose(r, 25) for _ in range(40)]
+    rows = [(2 * i + k, f"{base}{'.' * k}") for i, base in enumerate(bases) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # All lines in one bucket, in which each is near to one other only.
+    ids = lines.document_lines(df).select("id", F.array(F.lit(1).cast("long")).alias("bands"))
+    labels = lines.line_links(ids, df)
+    found = labels.join(lines.document_lines(df).select("id", "doc_id"), "id").select("doc_id", "component").collect()
+    groups = {row.doc_id: row.component for row in found}
+    assert len(groups) == len(rows) and len({*groups.values()}) == len(bases)
+    assert all(groups[2 * i] == groups[2 * i + 1] for i in range(len(bases)))
+
+
 def test_language(spark, docs, empty, odd, texts):
     r = random.Random(1)
     alphabets = {"aa": "abcdeimnor", "bb": "kopqrstuvy", "cc": "éèàçuvwxyz", "dd": "зиклмнопр"}
