@@ -226,6 +226,27 @@ def test_line_signatures_find_nearly_all_near_pairs(spark):
     assert found >= 0.95 * len(pairs)
 
 
+def test_near_lines_share_a_band_at_all_lengths(spark):
+    r = random.Random(13)
+    grams = lambda t: {t[k : k + 5] for k in range(len(t) - 4)}
+    rows = [("fox", 0, "the quick brown fox x"), ("fox", 1, "the quick brown fox y")]
+    for low, high in ((21, 40), (40, 80), (80, 200), (200, 600)):
+        for i in range(300):
+            base = prose(r, 200)[: r.randrange(low, high)].strip()
+            kind, other = f"{low}-last", base[:-1] + "#"
+            if i % 2:
+                places = {r.randrange(len(base)) for _ in range(max(1, len(base) // 60))}
+                kind, other = f"{low}-any", "".join("%" if k in places else c for k, c in enumerate(base))
+            x, y = grams(base), grams(other)
+            if len(x & y) >= 0.8 * len(x | y):
+                rows += [(kind, 2 * i, base), (kind, 2 * i + 1, other)]
+    banded = lines.with_bands(spark.createDataFrame(rows, "kind string, id long, line string")).collect()
+    bands = {(row.kind, row.id): {*row.bands} for row in banded}
+    for kind in {kind for kind, _ in bands}:
+        found = [not own.isdisjoint(bands[k, i + 1]) for (k, i), own in bands.items() if k == kind and i % 2 == 0]
+        assert sum(found) >= 0.98 * len(found), (kind, sum(found), len(found))
+
+
 def test_open_buckets_are_compared_wholly(spark, monkeypatch):
     r = random.Random(12)
     monkeypatch.setattr(lines, "BLOCK_LINES", 7)
