@@ -155,10 +155,10 @@ def digests(rendered: DataFrame) -> DataFrame:
 
 
 def as_events(conversations: DataFrame) -> DataFrame:
-    """Plain conversations as logs: every row is a message, its turn both its number and its place."""
-    return conversations.select(
-        "conv_id", F.col("turn").alias("seq"), F.col("turn").alias("msg"), F.lit("message").alias("kind"), "role", "text"
-    )
+    """Plain conversations as logs: every row is a message, numbered by turn (null last), ties by role and text."""
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "role", "text")
+    numbered = conversations.withColumn("msg", F.row_number().over(order).cast("long"))
+    return numbered.select("conv_id", F.col("msg").alias("seq"), "msg", F.lit("message").alias("kind"), "role", "text")
 
 
 def op10_chat(spark, sf_dir):

@@ -459,6 +459,15 @@ def test_chat(spark):
         assert at == len(row.formatted)
 
 
+def test_rows_of_one_turn_are_messages_of_their_own(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, None, "assistant", "y"), (1, None, "assistant", "z")]
+    given = spark.createDataFrame([*rows, (2, None, "user", "x")], "conv_id long, turn long, role string, text string")
+    found = chat.digests(chat.render(chat.reconstruct(chat.as_events(given)))).collect()
+    assert {row.conv_id: (row.n_turns, row.loss_chars) for row in found} == {1: (5, 2), 2: (1, 0)}
+    learnt = {row.conv_id: row.loss_sha256 for row in found}
+    assert learnt[1] == hashlib.sha256(b"yz").hexdigest()
+
+
 def test_escaping_is_reversible(spark):
     r = random.Random(3)
     parts = [*chat.CONTROL, "\\", "|", "<", "[", ">", "a", "\n", "<|end|>\n"]
