@@ -8,6 +8,7 @@ from perigee.llm.decontaminate import OP8_SQL, op8_decontaminate
 from perigee.llm.jaccard import OP3_SQL, op3_near_documents
 from perigee.llm.language import op2_language
 from perigee.llm.lines import op9_lines
+from perigee.llm.merkle import OP13_SQL, op13_merkle
 from perigee.llm.mixing import OP1_SQL, op1_mix
 from perigee.llm.pages import op7_pages
 from perigee.llm.private import op6_private
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_lines": op9_lines,
     "op10_chat": op10_chat,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,4 +36,5 @@ SQL = {
     "op5_quality": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
     "op10_chat": OP10_SQL,
+    "op13_merkle": OP13_SQL,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
