@@ -188,10 +188,10 @@ def op13_merkle(spark, sf_dir):
         "doc_id",
         F.col("digest").alias("leaf"),
         "subroot",
-        F.lit(root).alias("root"),
+        F.lit(root).cast("string").alias("root"),
         proof_digest(F.col("path")).alias("proof_sha256"),
         "folded_root",
-        (F.col("folded_root") == F.lit(root)).alias("verified"),
+        (F.col("folded_root") == F.lit(root).cast("string")).alias("verified"),
     )
 
 

@@ -14,6 +14,7 @@ from perigee.llm.pages import op7_pages
 from perigee.llm.private import op6_private
 from perigee.llm.quality import OP5_SQL, op5_quality
 from perigee.llm.scoring import op4_score
+from perigee.llm.search import OP11_SQL, op11_search
 
 QUERIES = {
     "op1_mix": op1_mix,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_lines": op9_lines,
     "op10_chat": op10_chat,
+    "op11_search": op11_search,
     "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
@@ -36,5 +38,6 @@ SQL = {
     "op5_quality": OP5_SQL,
     "op8_decontaminate": OP8_SQL,
     "op10_chat": OP10_SQL,
+    "op11_search": OP11_SQL,
     "op13_merkle": OP13_SQL,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
