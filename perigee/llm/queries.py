@@ -15,6 +15,7 @@ from perigee.llm.private import op6_private
 from perigee.llm.quality import OP5_SQL, op5_quality
 from perigee.llm.scoring import op4_score
 from perigee.llm.search import OP11_SQL, op11_search
+from perigee.llm.sketches import OP12_SQL, op12_odd_sketches
 
 QUERIES = {
     "op1_mix": op1_mix,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_lines": op9_lines,
     "op10_chat": op10_chat,
     "op11_search": op11_search,
+    "op12_odd_sketches": op12_odd_sketches,
     "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
@@ -39,5 +41,6 @@ SQL = {
     "op8_decontaminate": OP8_SQL,
     "op10_chat": OP10_SQL,
     "op11_search": OP11_SQL,
+    "op12_odd_sketches": OP12_SQL,
     "op13_merkle": OP13_SQL,
 } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
