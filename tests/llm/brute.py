@@ -184,3 +184,77 @@ def unigram_scores(docs):
     total, types = sum(counts.values()), len(counts)
     score = lambda t: math.log10((counts[t] + 1) / (total + types + 1))
     return {i: (len(x), sum(t in counts for t in x), sum(map(score, x))) for i, x in tokens.items()}, total
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def search(docs, items, top=50):
+    """(item, rank, document, score) of documents and items (id, text); null ids last."""
+    counts = [(i, Counter(TERM.findall(lower(text or "")))) for i, text in docs]
+    counts = [(i, c) for i, c in counts if c]
+    n, words = len(counts), sum(sum(c.values()) for _, c in counts)
+    held = Counter(t for _, c in counts for t in c)
+    weight = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * k + 1))) for t, k in held.items()}
+    out = []
+    for item, text in set(items):
+        terms = set(TERM.findall(lower(text or "")))
+        found = []
+        for i, c in counts:
+            m = 50 + 50 * sum(c.values()) * n // words
+            score = sum(weight[t] * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t in terms & c.keys())
+            if score:
+                found.append((-score, i is None, i))
+        found.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, rank, i, -score) for rank, (score, _, i) in enumerate(found[:top], 1)]
+    return out
+
+
+def similar_groups(docs, shingle, percent):
+    """Per row of (id, text): id, set size, smallest id reachable, whether that is its own; null ids come last."""
+    sets = []
+    for _, text in docs:
+        words = WORD.findall(lower(text or ""))
+        k = min(len(words), shingle)
+        sets.append({tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if words else set())
+    groups = Groups()
+    for i, x in enumerate(sets):
+        groups.find(i)
+        for j in range(i):
+            if x and sets[j] and 100 * len(x & sets[j]) >= percent * len(x | sets[j]):
+                groups.join(i, j)
+    least = {}
+    for i, (name, _) in enumerate(docs):
+        root = groups.find(i)
+        least[root] = min((x for x in (least.get(root), name) if x is not None), default=None)
+    return [(name, len(sets[i]), least[groups.find(i)], name == least[groups.find(i)]) for i, (name, _) in enumerate(docs)]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def tree(leaves, arity):
+    """Root and, for each leaf, its path: per level the slot and the siblings."""
+    paths, nodes, owner = [[] for _ in leaves], list(leaves), list(range(len(leaves)))
+    while len(nodes) > 1:
+        runs = [nodes[i : i + arity] for i in range(0, len(nodes), arity)]
+        for leaf, own in enumerate(owner):
+            run, slot = runs[own // arity], own % arity
+            paths[leaf].append((slot, run[:slot] + run[slot + 1 :]))
+        nodes, owner = [sha("".join(run)) for run in runs], [own // arity for own in owner]
+    return nodes[0], paths
+
+
+def manifest(rows, arity):
+    """(digest, subroot, path) of rows (group, order, digest), and the root."""
+    groups = defaultdict(list)
+    for group, order, leaf in rows:
+        groups[group].append((order is not None, order or 0, leaf))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    made = {g: tree([leaf for *_, leaf in sorted(groups[g])], arity) for g in names}
+    root, tops = tree([made[g][0] for g in names], arity)
+    out = []
+    for g, top in zip(names, tops, strict=True):
+        out += [(leaf[2], made[g][0], path + top) for leaf, path in zip(sorted(groups[g]), made[g][1], strict=True)]
+    return out, root

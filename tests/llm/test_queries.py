@@ -24,7 +24,7 @@ pytestmark = pytest.mark.skipif(not DATA.is_dir(), reason="test tables are not h
 def test_all_are_registered():
     assert QUERIES.items() <= entry_point.queries().items()
     assert SQL.items() <= entry_point.oracle_sql().items()
-    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 11)), "pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {*(f"op{n}" for n in range(1, 14)), "pipeline"}
 
 
 @pytest.mark.parametrize("name", list(SQL))
