@@ -122,7 +122,7 @@ def spread(rows: DataFrame, key: str) -> DataFrame:
 
 
 def as_object(object_id: Column, magnitude: Column | None = None, with_approach: Column | None = None) -> Column:
-    """An approach row as a feed object; an empty second approach follows, which must not be taken.
+    """An approach row as a feed object; another approach follows, whose every value differs and must not be taken.
 
     Distances are quoted numbers and velocities bare ones; the flatten reads both alike.
     """
@@ -142,7 +142,15 @@ def as_object(object_id: Column, magnitude: Column | None = None, with_approach:
         F.struct(*(F.col(f"miss_distance_{u}").cast("string").alias(u) for u in distances)).alias("miss_distance"),
         "orbiting_body",
     )
-    approaches_ = F.array(approach, F.lit(None))
+    later = F.struct(
+        F.lit("2999-12-31").alias("close_approach_date"),
+        F.lit("2999-Dec-31 00:00").alias("close_approach_date_full"),
+        (F.col("epoch_date_close_approach") + 1).alias("epoch_date_close_approach"),
+        F.struct(*((F.col(f"relative_velocity_{u}") + 1).alias(u) for u in speeds)).alias("relative_velocity"),
+        F.struct(*((F.col(f"miss_distance_{u}") + 1).cast("string").alias(u) for u in distances)).alias("miss_distance"),
+        F.lit("Elsewhere").alias("orbiting_body"),
+    )
+    approaches_ = F.array(approach, later)
     if with_approach is not None:
         approaches_ = F.when(with_approach, approaches_)
     return F.struct(

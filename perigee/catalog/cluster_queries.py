@@ -158,17 +158,27 @@ _SQ = _summaries(quantity="l_quantity", price="l_extendedprice")
 _BD = _summaries(tax="l_tax")
 _MD = _summaries(size="p_size", price="p_retailprice")
 
-# Days that bring the line items' dates to both sides of today.
-TODAY_SHIFT = 10_300
+# Ship dates are moved so that the day AS_OF falls on today, and those that would lie 20 days or more ahead by 20 more, so
+# that none lies where the length of a month decides: the answer is the same on every day.
+MOVED = "datediff(CAST(l_shipdate AS DATE), DATE '{as_of}')".format(as_of=AS_OF)
+MOVED_SQL = f"date_diff('day', DATE '{AS_OF}', CAST(l_shipdate AS DATE))"
+
+
+def moved_days(days: str) -> str:
+    return f"({days} + CASE WHEN {days} >= 20 THEN 20 ELSE 0 END)"
+
+
+def horizon_today(today: Column | None = None, as_of: date | None = None) -> Column:
+    """Whether a line item is near, seen from `today` (the current date if None) or labelled as of a given date."""
+    shifted = F.date_add(F.current_date() if today is None else today, F.expr(moved_days(MOVED)).cast("int"))
+    return horizon_label(shifted, as_of, 1, "near", "far")
+
 
 QUERIES: dict[str, Query] = {
     "profile_horizon_today": Query(
         _profiled(
             "lineitem",
-            lambda: {
-                "returned": flag_label(F.col("l_returnflag") == "R", "yes", "no"),
-                "horizon": horizon_label(F.date_add(F.col("l_shipdate").cast("date"), TODAY_SHIFT), None, 1, "near", "far"),
-            },
+            lambda: {"returned": flag_label(F.col("l_returnflag") == "R", "yes", "no"), "horizon": horizon_today()},
             "l_orderkey",
             None,
             {"first": "l_shipdate"},
@@ -178,7 +188,7 @@ QUERIES: dict[str, Query] = {
             "SELECT * FROM lineitem",
             {
                 "returned": flag_sql("l_returnflag = 'R'", "yes", "no"),
-                "horizon": f"CASE WHEN CAST(l_shipdate AS DATE) + {TODAY_SHIFT} <= current_date + INTERVAL 1 MONTH "
+                "horizon": f"CASE WHEN current_date + CAST({moved_days(MOVED_SQL)} AS INTEGER) <= current_date + INTERVAL 1 MONTH "
                 "THEN 'near' ELSE 'far' END",
             },
             "l_orderkey",

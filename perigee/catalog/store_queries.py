@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 from functools import partial, reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +30,11 @@ from perigee.plans import jobs
 from perigee.plans.ingest import NO_DOCUMENT, FeedErrors
 from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS, OBJECTS
 from perigee.schema import APPROACH_COLUMNS
-from perigee.session import work_dir
+from perigee.session import work_dir, work_table
 from perigee.sinks.days import write_days
 from perigee.sinks.feed import publish_files
-from perigee.sinks.files import remove
-from perigee.sinks.marts import register_table, write_mart
+from perigee.sinks.files import move_all, remove
+from perigee.sinks.marts import read_mart, register_table, unregister_table, write_mart
 from perigee.sources.feed import read_feed, stream_feed
 from perigee.sources.stores import read_days, read_plain_days, read_union
 
@@ -44,6 +45,8 @@ EVENTS_SQL = approaches_sql("events", EVENTS)
 HIST_END = date(2024, 1, 20)
 LIVE_START = date(2024, 1, 18)
 NEW_START = date(2024, 1, 26)
+# Folders that landed files are dealt to.
+FOLDERS = 16
 
 # Line items are stored by the month they ship in, which keeps the partitions of seven years few.
 OLD_END = date(1998, 9, 1)
@@ -176,24 +179,23 @@ def _live_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "limited")
     land(spark, sf_dir, f"{root}/landing")
     jobs.live(spark, stream_feed(spark, f"{root}/landing", max_files=2), f"{root}/live", f"{root}/checkpoint")
-    return read_days(spark, f"{root}/live").select(F.count("*").alias("n"), F.count_distinct("close_approach_date").alias("days"))
-
-
-_LIVE_LIMITED_SQL = "SELECT 2 * count(DISTINCT CAST(ts AS DATE)) AS n, count(DISTINCT CAST(ts AS DATE)) AS days FROM events"
+    return read_days(spark, f"{root}/live")
 
 
 def _relayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of several lines, a file each, relayed as messages of one line."""
+    """Documents of several lines, a file for each customer, relayed as messages of one line."""
     root = work_dir(spark, "relayed")
-    text = F.expr("concat('{\\n\"id\": ', c_custkey % 40, ',\\r\\n \"name\": \"', c_mktsegment, '\"\\n}\\n')")
-    rows = table(spark, sf_dir, "customer").select(text.alias("value")).distinct()
-    rows.withColumn("file", F.md5("value")).repartition("file").write.partitionBy("file").text(f"{root}/landing")
+    text = F.expr("concat('{\\n\"id\": ', c_custkey, ',\\r\\n \"name\": \"', c_mktsegment, '\"\\n}')")
+    rows = table(spark, sf_dir, "customer").select(text.alias("value"), (F.col("c_custkey") % FOLDERS).alias("folder"))
+    # One row a file: what a task writes to a folder is cut after every row.
+    writer = rows.repartition("folder").write.option("maxRecordsPerFile", 1)
+    writer.partitionBy("folder").text(f"{root}/landing")
     jobs.relay(spark, f"{root}/landing", partial(publish_files, path=f"{root}/messages"), whole_files=True)
     return read_feed(spark, f"{root}/messages").select("value")
 
 
 _RELAYED_SQL = """
-SELECT DISTINCT '{ "id": ' || (c_custkey % 40) || ',  "name": "' || c_mktsegment || '" }' AS value FROM customer
+SELECT '{ "id": ' || c_custkey || ',  "name": "' || c_mktsegment || '" }' AS value FROM customer
 """
 
 
@@ -250,7 +252,7 @@ def _mart_rows(spark: SparkSession, out: str) -> DataFrame:
     """All marts in one table, with every column: text columns put together, and the numbers."""
 
     def picked(name: str) -> DataFrame:
-        mart = spark.read.parquet(f"{out}/{name}")
+        mart = read_mart(spark, f"{out}/{name}")
         texts, numbers = _mart_columns(name)
         if {*texts, *numbers} != {*mart.columns}:
             raise ValueError(f"{name} has {mart.columns}")
@@ -314,35 +316,84 @@ def _mart_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart_rows(spark, f"{root}/out")
 
 
+def _plain_store(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Line items as a plain store, a file for each day they ship on, in three kinds by the day of the month.
+
+    Magnitudes are whole numbers on one kind of day; velocities are text and the body is not there on another.
+    """
+    rows = approaches(table(spark, sf_dir, "lineitem"), LINEITEM, F.expr("CAST(l_shipdate AS DATE)").alias("shipped"))
+    parts = {"y": "yyyy", "m": "MM", "d": "dd"}
+    dated = rows.withColumns({name: F.date_format("shipped", form) for name, form in parts.items()})
+    kind, speed = F.day("shipped") % 3, "relative_velocity_kilometers_per_second"
+    whole = F.floor("absolute_magnitude_h").cast("bigint")
+    kinds = (
+        dated.filter(kind == 0).withColumn("absolute_magnitude_h", whole),
+        dated.filter(kind == 1).withColumn(speed, F.col(speed).cast("string")).drop("orbiting_body"),
+        dated.filter(kind == 2),
+    )
+    for number, own in enumerate(kinds):
+        own.drop("shipped").hint("rebalance", *parts).write.partitionBy(*parts).parquet(f"{root}-{number}")
+        made, day = f"{root}-{number}", r"/y=(\d+)/m=(\d+)/d=(\d+)/"
+        found = {re.search(day, file).groups() for file in spark.read.schema("id string").parquet(made).inputFiles()}
+        places = ((f"{made}/y={y}/m={m}/d={d}", f"{root}/{y}/{m}/{d}.parquet") for y, m, d in sorted(found))
+        move_all(spark, places)
+
+
 def _takeover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A plain store of a file a year, in which magnitudes are whole numbers in some files and fractions in others."""
     root = work_dir(spark, "plain")
-    rows = _lineitems(spark, sf_dir).withColumn("y", F.year("feed_date"))
-    magnitude = F.col("absolute_magnitude_h")
-    for year in range(1995, 2002):
-        own = rows.filter(F.col("y") == year).select(*APPROACH_COLUMNS).coalesce(1)
-        if year % 2 == 0:
-            own = own.withColumn("absolute_magnitude_h", F.floor(magnitude).cast("bigint"))
-        own.write.parquet(f"{root}/{year}/01/01.parquet")
+    _plain_store(spark, sf_dir, root)
     return read_plain_days(spark, root)
 
 
-_TAKEOVER_SQL = f"""
-WITH e AS ({_LINEITEM_DATED_SQL})
-SELECT {COLUMNS.replace("absolute_magnitude_h", "CASE WHEN year(feed_date) % 2 = 0 THEN floor(absolute_magnitude_h) ELSE absolute_magnitude_h END AS absolute_magnitude_h")},
-       CAST(year(feed_date) AS INTEGER) AS "year", CAST(1 AS INTEGER) AS "month", CAST(1 AS INTEGER) AS "day"
-FROM e WHERE year(feed_date) BETWEEN 1995 AND 2001
-"""
+def _takeover_sql() -> str:
+    kind = "day(l_shipdate) % 3"
+    changed = dict(LINEITEM)
+    magnitude, body = changed["absolute_magnitude_h"], changed["orbiting_body"]
+    changed["absolute_magnitude_h"] = f"CASE WHEN {kind} = 0 THEN floor({magnitude}) ELSE {magnitude} END"
+    changed["orbiting_body"] = f"CASE WHEN {kind} <> 1 THEN {body} END"
+    parts = "".join(f'CAST({part}(l_shipdate) AS INTEGER) AS "{part}", ' for part in ("year", "month", "day"))
+    return approaches_sql("lineitem", changed, parts)
 
 
 def _table_rows(spark: SparkSession, name: str) -> DataFrame:
-    """Rows of a table whose entry goes; its files stay and are read."""
+    """Rows of a table whose entries go; its files stay and are read."""
     rows = spark.table(name)
     rows.schema  # resolved while the entry is there
-    spark.sql(f"DROP TABLE {name}")
+    unregister_table(spark, name)
+    return rows
+
+
+def _registered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The union table by its name in the catalog, after a stored day went, newer ones came, and a run took them in."""
+    root = work_dir(spark, "catalog")
+    database = f"perigee_{root.rsplit('-', 1)[1]}"
+    hist, live = stores(spark, sf_dir, root, live_end=NEWEST_START - timedelta(days=1))
+    jobs.daily(spark, hist, live, f"{root}/out", AS_OF, database=database)
+    remove(spark, f"{live}/year={REMOVED.year}/month={REMOVED.month}/day={REMOVED.day}")
+    write_days(_lineitems(spark, sf_dir).filter(F.col("feed_date") >= F.lit(NEWEST_START)), live)
+    jobs.daily(spark, hist, live, f"{root}/out", AS_OF, start=REMOVED, database=database)
+    rows = work_table(spark.table(f"{database}.{jobs.UNION_TABLE}").select(*APPROACH_COLUMNS), "catalog-rows")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
     return rows
 
 
+def _replaced_while_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mart read before, after a failed and after a finished replacement; readers keep the version they began with."""
+    path = work_dir(spark, "replaced")
+    counts = period_queries.period_counts(table(spark, sf_dir, "orders"), "o_orderdate", "month")
+    write_mart(counts.filter("n <= 190"), path)
+    began = read_mart(spark, path)
+    try:
+        fails = F.when(F.col("year") > 1996, F.raise_error(F.lit("on purpose")).cast("bigint")).otherwise(F.col("n"))
+        write_mart(counts.withColumn("n", fails), path)
+    except SparkRuntimeException:
+        pass
+    failed = read_mart(spark, path)
+    write_mart(counts, path)
+    seen = (("began", began), ("failed", failed), ("replaced", read_mart(spark, path)))
+    return reduce(DataFrame.unionByName, (rows.withColumn("reader", F.lit(name)) for name, rows in seen))
+
+
 def _registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart written, registered, replaced, and read by its table name."""
     path = work_dir(spark, "registered")
@@ -378,7 +429,7 @@ def _mart_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_mart(counts.limit(0), f"{path}/kept", mode="error")
     except AnalysisException:
         pass
-    return spark.read.parquet(f"{path}/kept").unionByName(spark.read.parquet(f"{path}/emptied"))
+    return read_mart(spark, f"{path}/kept").unionByName(read_mart(spark, f"{path}/emptied"))
 
 
 _REGISTERED_SQL = period_queries.counts_sql("SELECT o_orderdate FROM orders", "o_orderdate", "month") + (
@@ -388,6 +439,11 @@ _REFUSED_SQL = period_queries.counts_sql("SELECT o_orderdate FROM orders", "o_or
     'SELECT period, yr AS "year", n FROM c UNION ALL SELECT period, yr AS "year", n FROM c'
 )
 
+_REPLACED_SQL = period_queries.counts_sql("SELECT o_orderdate FROM orders", "o_orderdate", "month") + (
+    """SELECT period, yr AS "year", n, reader FROM c, (VALUES ('began'), ('failed'), ('replaced')) AS r(reader)
+    WHERE n <= 190 OR reader = 'replaced'"""
+)
+
 QUERIES: dict[str, Query] = {
     "union_overlap": Query(_union_overlap, _UNION_SQL),
     "day_store": Query(_day_store, EVENTS_SQL),
@@ -396,9 +452,9 @@ QUERIES: dict[str, Query] = {
     "backfill_job": Query(_backfill, _last_of_day_sql(HIST_END)),
     "live_job": Query(_live, _last_of_day_sql()),
     "backfill_missing_days": Query(_backfill_missing, _BACKFILL_MISSING_SQL),
-    "live_job_file_limit": Query(_live_limited, _LIVE_LIMITED_SQL),
+    "live_job_file_limit": Query(_live_limited, _last_of_day_sql()),
     "relay_whole_files": Query(_relayed, _RELAYED_SQL),
-    "plain_store_takeover": Query(_takeover, _TAKEOVER_SQL),
+    "plain_store_takeover": Query(_takeover, _takeover_sql()),
     "union_job": Query(_union_job, _STORES_SQL),
     "mart_jobs": Query(_mart_jobs, _mart_rows_sql()),
     "daily_job": Query(_daily, _mart_rows_sql()),
@@ -406,5 +462,7 @@ QUERIES: dict[str, Query] = {
     "daily_job_refresh_removed_day": Query(_daily_removed, _mart_rows_sql(_STORES_REMOVED_SQL)),
     "registered_mart": Query(_registered, _REGISTERED_SQL),
     "registered_mart_moved": Query(_registered_moved, _REGISTERED_SQL),
+    "registered_union_days": Query(_registered_days, _STORES_REMOVED_SQL),
+    "mart_read_while_replaced": Query(_replaced_while_read, _REPLACED_SQL),
     "mart_refused": Query(_mart_refused, _REFUSED_SQL),
 }

@@ -30,9 +30,16 @@ def _text(obj: Column, place: str) -> Column:
 
 
 def _whole(text: Column, kind: str) -> Column:
-    """Whole number of a text; one written with a fraction of nought, as 2.0, is whole."""
-    number = text.try_cast("decimal(38,6)")
-    return F.when(number == F.floor(number), F.floor(number).try_cast(kind))
+    """Whole number of a text; one written with a fraction of nought, as 2.0, is whole. No digit is rounded away."""
+    plain = F.btrim(text)
+    digits = F.when(plain.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.regexp_replace(plain, r"\.0*$", ""))
+    return F.coalesce(digits.try_cast(kind), _whole_power(plain).try_cast(kind))
+
+
+def _whole_power(text: Column) -> Column:
+    """Whole number of a text with an exponent, as 1.5e3."""
+    number = F.when(text.rlike("^[+-]?[0-9.]+[eE]"), text).try_cast("double")
+    return F.when((number == F.floor(number)) & (F.abs(number) < F.lit(float(1 << 53))), F.floor(number))
 
 
 def _value(text: Column, kind: str) -> Column:

@@ -22,13 +22,17 @@ from perigee.plans.marts import (
 from perigee.plans.rollup import approach_rollup, rollup_cluster_parts
 from perigee.schema import APPROACH_COLUMNS, STORE_PARTITIONS
 from perigee.session import work_table
-from perigee.sinks.days import dealt, drop_partitions, write_partitions
-from perigee.sinks.marts import register_table, write_mart
+from perigee.sinks.days import dealt, drop_partitions, partition_values, write_partitions
+from perigee.sinks.files import current_path, replace_directory
+from perigee.sinks.marts import Touched, read_mart, register_table, write_mart
 from perigee.sources.feed import read_feed, stream_feed
 from perigee.sources.stores import in_days, read_days, read_union
 from perigee.streaming.live import run_live
 
 MARTS_AT_ONCE = 4
+# Fixed value: the union table's name. The rollup's is ours.
+UNION_TABLE = "asteroid_union_data"
+ROLLUP_TABLE = "asteroid_rollup"
 
 
 def backfill(
@@ -75,33 +79,47 @@ def live(
 
 def union(
     spark: SparkSession, hist: str, live: str, out: str, start: date | None = None, end: date | None = None
-) -> None:
+) -> Touched | None:
     """Write both stores to the union table, duplicates kept.
 
     With `start` or `end`, only those days are read and replaced; days in that range that the stores no longer
-    have go. Rows are dealt to tasks by store and day, a large day to several.
+    have go, and the partitions written and dropped are given. Else the table is replaced by a new version. Rows
+    are dealt to tasks by store and day, a large day to several.
     """
     stores = {
         name: read_days(spark, root, start, end, partitions=True).withColumn("store", F.lit(name))
         for name, root in (("hist", hist), ("live", live))
     }
     rows = union_stores(stores["hist"], stores["live"]).select(*APPROACH_COLUMNS, *STORE_PARTITIONS)
-    write_partitions(dealt(rows, STORE_PARTITIONS), out, STORE_PARTITIONS, replace_all=start is None and end is None)
-    if start is not None or end is not None:
-        drop_partitions(out, STORE_PARTITIONS, read_union(spark, out, start, end, partitions=True), rows)
+    return _renew(spark, dealt(rows, STORE_PARTITIONS), rows, out, start, end)
 
 
 def rollup(
     spark: SparkSession, union_table: str, out: str, start: date | None = None, end: date | None = None
-) -> None:
-    """Write the rollup of the union table, or renew it for some days only."""
+) -> Touched | None:
+    """Write the rollup of the union table, or renew it for some days only, as `union` does."""
     rows = read_union(spark, union_table, start, end, partitions=True)
     # The grouping scatters each day over all tasks; without the rebalance each would write every day.
     parts = approach_rollup(rows, by=STORE_PARTITIONS).hint("rebalance", *STORE_PARTITIONS)
-    write_partitions(parts, out, STORE_PARTITIONS, replace_all=start is None and end is None)
-    if start is not None or end is not None:
-        stored = in_days(spark.read.parquet(out), start, end)
-        drop_partitions(out, STORE_PARTITIONS, stored, rows)
+    return _renew(spark, parts, rows, out, start, end)
+
+
+def _renew(
+    spark: SparkSession, rows: DataFrame, wanted: DataFrame, out: str, start: date | None, end: date | None
+) -> Touched | None:
+    """Replace a partitioned table, or in its current version the days from `start` to `end` by what `wanted` has."""
+    if start is None and end is None:
+        replace_directory(rows, out, STORE_PARTITIONS)
+        return None
+    place = current_path(spark, out)
+    write_partitions(rows, place, STORE_PARTITIONS)
+    stored = in_days(spark.read.parquet(place), start, end)
+    return Touched(partition_values(wanted, STORE_PARTITIONS), drop_partitions(place, STORE_PARTITIONS, stored, wanted))
+
+
+def today(spark: SparkSession) -> date:
+    """The current date in the session's time zone."""
+    return spark.range(1).select(F.current_date()).first()[0]
 
 
 def _stored_days(counts: DataFrame) -> DataFrame:
@@ -132,7 +150,7 @@ def approach_marts(spark: SparkSession, union_table: str, out: str) -> None:
 
 def cluster_marts(spark: SparkSession, union_table: str, out: str, as_of: date | None = None) -> None:
     """The four profiles of the objects, from one scan."""
-    parts = work_table(cluster_parts(read_union(spark, union_table), as_of), "parts")
+    parts = work_table(cluster_parts(read_union(spark, union_table), as_of or today(spark)), "parts")
     _write_marts(_cluster_marts(parts), out)
 
 
@@ -155,20 +173,28 @@ def daily(
     """The daily run: union, rollup, then all 17 marts from the rollup.
 
     With `start` or `end`, the union table and the rollup are renewed for those days only, so
-    a run reads the new days and the small rollup. With `database`, the marts become tables.
+    a run reads the new days and the small rollup. The date that horizons count from is fixed when the run begins and kept
+    beside the marts (`run`: as_of). With `database`, all become tables there, the union table and the rollup by
+    partition: of a ranged run, only the days it touched are entered or taken out.
     """
-    union(spark, hist, live, f"{out}/union", start, end)
-    rollup(spark, f"{out}/union", f"{out}/rollup", start, end)
-    summary = spark.read.parquet(f"{out}/rollup")
+    as_of = as_of or today(spark)
+    changed = {
+        UNION_TABLE: union(spark, hist, live, f"{out}/union", start, end),
+        ROLLUP_TABLE: rollup(spark, f"{out}/union", f"{out}/rollup", start, end),
+    }
+    summary = read_mart(spark, f"{out}/rollup")
     days = _stored_days(day_counts(summary, weight="row_count"))
     parts = work_table(rollup_cluster_parts(summary, as_of), "parts")
     marts = {
         **_period_marts(APPROACH_MARTS, days),
         **_cluster_marts(parts),
         **_period_marts(KPI_MARTS, days),
+        "run": spark.range(1).select(F.lit(as_of).alias("as_of")),
     }
     _write_marts(marts, out)
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for place, table in (("union", UNION_TABLE), ("rollup", ROLLUP_TABLE)):
+            register_table(spark, f"{database}.{table}", f"{out}/{place}", changed[table])
         for name in marts:
-            register_table(spark, f"{database}.{name.split('/')[1]}", f"{out}/{name}")
+            register_table(spark, f"{database}.{name.split('/')[-1]}", f"{out}/{name}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from perigee.functions.dates import day_parts
 from perigee.schema import APPROACH_COLUMNS, DAY_PARTITIONS
-from perigee.sinks.files import remove, replace_directory
+from perigee.sinks.files import remove
 
 # Tasks that share a day. Small ones are packed together again by adaptive execution.
 WAYS = 8
@@ -33,20 +33,24 @@ def dealt(rows: DataFrame, partitions: tuple[str, ...]) -> DataFrame:
     return rows.withColumn("__way", way).hint("rebalance", *partitions, "__way").drop("__way")
 
 
-def write_partitions(df: DataFrame, root: str, partitions: tuple[str, ...], replace_all: bool = False) -> None:
-    """Write by partition: replace the partitions present in `df`, or the whole table."""
-    if replace_all:
-        replace_directory(df, root, partitions)
-    else:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root)
+def write_partitions(df: DataFrame, root: str, partitions: tuple[str, ...]) -> None:
+    """Replace the partitions present in `df`; the others stay."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root)
 
 
-def drop_partitions(root: str, partitions: tuple[str, ...], stored: DataFrame, wanted: DataFrame) -> None:
-    """Remove the partitions of `stored` that `wanted` does not have.
+def partition_values(rows: DataFrame, partitions: tuple[str, ...]) -> list[dict]:
+    """The partitions that `rows` are in. One row for each comes to the driver."""
+    return [row.asDict() for row in rows.select(*partitions).distinct().collect()]
+
+
+def drop_partitions(root: str, partitions: tuple[str, ...], stored: DataFrame, wanted: DataFrame) -> list[dict]:
+    """Remove the partitions of `stored` that `wanted` does not have, and give them.
 
     Both are read for their partition values only. What comes to the driver is one row per day that goes.
     """
-    gone = stored.select(*partitions).distinct().join(wanted.select(*partitions).distinct(), list(partitions), "left_anti")
-    for row in gone.collect():
-        place = "/".join(f"{name}={row[name]}" for name in partitions)
+    gone = stored.select(*partitions).join(wanted.select(*partitions).distinct(), list(partitions), "left_anti")
+    dropped = partition_values(gone, partitions)
+    for values in dropped:
+        place = "/".join(f"{name}={values[name]}" for name in partitions)
         remove(stored.sparkSession, f"{root.rstrip('/')}/{place}")
+    return dropped

@@ -16,6 +16,7 @@ from perigee.plans.ingest import NO_DOCUMENT, FeedErrors
 from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS
 from perigee.sinks.days import write_days
 from perigee.sinks.feed import publish_files
+from perigee.sinks.marts import read_mart
 from perigee.sources.stores import read_days, read_union
 
 ALL = {**{name: spec for name, spec in PERIODS.items()}, **{PREFIX + name: spec for name, spec in CLUSTERS.items()}}
@@ -41,7 +42,7 @@ def assert_marts(spark, out, names):
 
     for name in names:
         columns, values = ALL[name]
-        assert rows(spark.read.parquet(f"{out}/{name}"), *columns) == expected(values), name
+        assert rows(read_mart(spark, f"{out}/{name}"), *columns) == expected(values), name
 
 
 def test_backfill_takes_the_days_asked_for(spark, tmp_path):
@@ -144,7 +145,7 @@ def test_daily_job_with_new_days_only(spark, tmp_path):
     assert_marts(spark, out, ALL)
     # The horizon moves with the date of the run, without any new rows.
     jobs.daily(spark, hist, live, out, date(2024, 4, 1), start=date(2025, 1, 1))
-    moved = spark.read.parquet(f"{out}/{PREFIX}asteroid_hazardous_close_approach_clusters")
+    moved = read_mart(spark, f"{out}/{PREFIX}asteroid_hazardous_close_approach_clusters")
     assert rows(moved.filter("hazard_cluster = 'Hazardous'"), "approach_cluster", "num_asteroids") == [
         ("Near Future", 4)
     ]

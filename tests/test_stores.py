@@ -13,7 +13,7 @@ from perigee.schema import APPROACH_COLUMNS, APPROACH_SCHEMA
 from perigee.session import shared_dir, work_dir, work_table
 from perigee.sinks.days import write_days
 from perigee.sinks.feed import publish_files, publish_topic
-from perigee.sinks.marts import register_table, write_mart
+from perigee.sinks.marts import read_mart, register_table, write_mart
 from perigee.sources.feed import read_feed, stream_topic
 from perigee.sources.stores import read_days, read_plain_days
 
@@ -174,7 +174,7 @@ def test_mart_modes(spark, ten, tmp_path):
     path = str(tmp_path / "mart")
     write_mart(ten, path)
     write_mart(ten.limit(3), path)
-    assert spark.read.parquet(path).count() == 3
+    assert read_mart(spark, path).count() == 3
     with pytest.raises(AnalysisException, match="ALREADY_EXISTS"):
         write_mart(ten, path, mode="error")
 
