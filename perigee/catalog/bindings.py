@@ -7,7 +7,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from perigee.functions.documents import encode_feed
 from perigee.schema import APPROACH_COLUMNS
@@ -186,14 +185,3 @@ def document_rows_sql(rows: str) -> str:
     second = columns.replace("id,", "id || 'b' AS id,", 1)
     return f"WITH a AS ({rows}) SELECT {columns} FROM a UNION ALL SELECT {second} FROM a"
 
-
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Means rounded, since engines add doubles up in different orders."""
-    return df.select(
-        *(
-            F.round(column.name, digits).alias(column.name)
-            if isinstance(column.dataType, T.DoubleType) and column.name.lower().startswith("avg")
-            else F.col(column.name)
-            for column in df.schema
-        )
-    )

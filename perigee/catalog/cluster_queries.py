@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.catalog.bindings import LINEITEM_SQL, Query, lineitem_approaches, rounded, table
+from perigee.catalog.bindings import LINEITEM_SQL, Query, lineitem_approaches, table
 from perigee.functions.labels import band, flag_label, horizon_label
 from perigee.operators.profiles import profile
 from perigee.plans.marts import CLUSTER_MARTS, cluster_mart, cluster_mart_from_parts, cluster_parts
@@ -29,12 +29,20 @@ def horizon_sql(day: str, as_of: date, near: str, far: str) -> str:
     return f"CASE WHEN {day} <= DATE '{as_of}' + INTERVAL 1 MONTH THEN '{near}' ELSE '{far}' END"
 
 
+def mean_sql(column: str) -> str:
+    """Mean of a column that does not hang on the order of rows: what is added are whole numbers of 1/2**20 and 1/2**72."""
+    scaled = f"(CAST({column} AS DOUBLE) * 1048576e0)"
+    rest = f"floor(({scaled} - floor({scaled})) * 4503599627370496e0)"
+    whole, rest = (f"CAST(sum(CAST({part} AS HUGEINT)) AS DOUBLE)" for part in (f"floor({scaled})", rest))
+    return f"({whole} / 1048576e0 + {rest} / 4722366482869645213696e0) / nullif(count({column}), 0)"
+
+
 def profile_sql(
     relation: str, keys: dict[str, str], id_col: str, count_name: str, averages=None, minima=None, maxima=None
 ) -> str:
     columns = [f"{label} AS {name}" for name, label in keys.items()]
     columns.append(f"count({id_col}) AS {count_name}")
-    columns += [f"round(avg({column}), 6) AS {name}" for name, column in (averages or {}).items()]
+    columns += [f"{mean_sql(column)} AS {name}" for name, column in (averages or {}).items()]
     columns += [f"min({column}) AS {name}" for name, column in (minima or {}).items()]
     columns += [f"max({column}) AS {name}" for name, column in (maxima or {}).items()]
     return f"SELECT {', '.join(columns)} FROM ({relation}) AS r GROUP BY 1, 2"
@@ -98,19 +106,17 @@ def mart_sql(relation: str, as_of: date) -> dict[str, str]:
 
 
 def _mart(mart):
-    return lambda spark, sf_dir: rounded(cluster_mart(mart, lineitem_approaches(spark, sf_dir), AS_OF))
+    return lambda spark, sf_dir: cluster_mart(mart, lineitem_approaches(spark, sf_dir), AS_OF)
 
 
 def _mart_from_parts(mart):
-    return lambda spark, sf_dir: rounded(
-        cluster_mart_from_parts(mart, cluster_parts(lineitem_approaches(spark, sf_dir), AS_OF))
-    )
+    return lambda spark, sf_dir: cluster_mart_from_parts(mart, cluster_parts(lineitem_approaches(spark, sf_dir), AS_OF))
 
 
 def _mart_from_rollup(mart):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         rollup = approach_rollup(lineitem_approaches(spark, sf_dir))
-        return rounded(cluster_mart_from_parts(mart, rollup_cluster_parts(rollup, AS_OF)))
+        return cluster_mart_from_parts(mart, rollup_cluster_parts(rollup, AS_OF))
 
     return run
 
@@ -131,9 +137,7 @@ def _mart_queries() -> dict[str, Query]:
 
 def _profiled(name: str, keys, id_col: str, averages=None, minima=None, maxima=None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return rounded(
-            profile(table(spark, sf_dir, name), keys(), id_col, "n", averages, minima, maxima)
-        )
+        return profile(table(spark, sf_dir, name), keys(), id_col, "n", averages, minima, maxima)
 
     return run
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perigee.catalog.bindings import LINEITEM_SQL, Query, lineitem_approaches, rounded, table
+from perigee.catalog.bindings import LINEITEM_SQL, Query, lineitem_approaches, table
 from perigee.operators.days import day_sequence, missing_days
 from perigee.operators.periods import (
     peak_periods,
@@ -37,7 +37,7 @@ def counts_sql(relation: str, column: str, grain: str) -> str:
 def average_sql(relation: str, column: str, grain: str, names: tuple[str, str, str], within: str = "") -> str:
     period, n, average = names
     return counts_sql(relation, column, grain) + (
-        f"SELECT period AS {period}, n AS {n}, round(avg(n) OVER ({within}), 6) AS {average} FROM c"
+        f"SELECT period AS {period}, n AS {n}, avg(n) OVER ({within}) AS {average} FROM c"
     )
 
 
@@ -117,7 +117,7 @@ def mart_sql(relation: str, column: str = "close_approach_date") -> dict[str, st
 
 
 def _mart(build):
-    return lambda spark, sf_dir: rounded(build(day_counts(lineitem_approaches(spark, sf_dir))))
+    return lambda spark, sf_dir: build(day_counts(lineitem_approaches(spark, sf_dir)))
 
 
 def _mart_queries() -> dict[str, Query]:
@@ -142,7 +142,7 @@ def _orders(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
 def _average(grain: str, within: str | None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         averaged = period_average(_orders(spark, sf_dir, grain), within)
-        return averaged.select("period", "n", F.round("average", 6).alias("avg_n"))
+        return averaged.select("period", "n", F.col("average").alias("avg_n"))
 
     return run
 

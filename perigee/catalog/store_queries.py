@@ -28,6 +28,7 @@ from perigee.operators.days import newest_per_day
 from perigee.operators.union import union_stores
 from perigee.plans import jobs
 from perigee.plans.ingest import NO_DOCUMENT, FeedErrors
+from perigee.plans.ledger import read_ledger
 from perigee.plans.marts import APPROACH_MARTS, CLUSTER_MARTS, KPI_MARTS, OBJECTS
 from perigee.schema import APPROACH_COLUMNS
 from perigee.session import work_dir, work_table
@@ -36,6 +37,7 @@ from perigee.sinks.feed import publish_files
 from perigee.sinks.files import move_all, remove
 from perigee.sinks.marts import read_mart, register_table, unregister_table, write_mart
 from perigee.sources.feed import read_feed, stream_feed
+from perigee.sources.footers import union_summary
 from perigee.sources.stores import read_days, read_plain_days, read_union
 
 COLUMNS = ", ".join(APPROACH_COLUMNS)
@@ -138,6 +140,49 @@ def _last_of_day_sql(until: date | None = None) -> str:
     return document_rows_sql(f"{EVENTS_SQL} WHERE event_id IN ({last})")
 
 
+def _backfill_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill, then some days are published again and it runs again: what is stored, and how often each day was written."""
+    root = work_dir(spark, "again")
+    rows = spread(events_approaches(spark, sf_dir), "id").withColumn("event", F.col("id").cast("bigint"))
+    last = newest_per_day(rows, "feed_date", "event", APPROACH_COLUMNS)
+    first = newest_per_day(rows.withColumn("event", -F.col("event")), "feed_date", "event", APPROACH_COLUMNS)
+    # Of what is published again, one half is changed and one is not.
+    again = first.filter(F.day("feed_date") % 5 == 0).unionByName(last.filter(F.day("feed_date") % 5 == 1))
+    for published in (last, again):
+        publish_files(documents(published, as_document(F.col("feed_date"))), f"{root}/landing")
+        jobs.backfill(spark, f"{root}/landing", f"{root}/hist", date(2024, 1, 1), HIST_END, ledger=f"{root}/ledger")
+    written = read_ledger(spark, f"{root}/ledger").groupBy("feed_date").agg(F.count("*").alias("writes"))
+    stored = read_days(spark, f"{root}/hist", partitions=True).select(F.make_date("year", "month", "day").alias("feed_date"), "id")
+    return stored.join(written, "feed_date")
+
+
+_BACKFILL_AGAIN_SQL = f"""
+WITH d AS (
+  SELECT CAST(ts AS DATE) AS feed_date, min(event_id) AS first, max(event_id) AS last FROM events
+  WHERE CAST(ts AS DATE) <= DATE '{HIST_END}' GROUP BY 1),
+w AS (
+  SELECT feed_date, CASE WHEN day(feed_date) % 5 = 0 THEN first ELSE last END AS id,
+         CASE WHEN day(feed_date) % 5 = 0 AND first <> last THEN 2 ELSE 1 END AS writes FROM d)
+SELECT feed_date, CAST(id AS VARCHAR) AS id, CAST(writes AS BIGINT) AS writes FROM w
+UNION ALL SELECT feed_date, CAST(id AS VARCHAR) || 'b', CAST(writes AS BIGINT) FROM w
+"""
+
+
+def _live_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of a stream that puts away what it has taken; the second finds the newer documents alone."""
+    root = work_dir(spark, "archived")
+    rows = spread(events_approaches(spark, sf_dir), "id").withColumn("event", F.col("id").cast("bigint"))
+    last = newest_per_day(rows, "feed_date", "event", APPROACH_COLUMNS)
+    for published in (rows, last):
+        publish_files(documents(published, as_document(F.col("feed_date"))), f"{root}/landing")
+        jobs.live(
+            spark, f"{root}/landing", f"{root}/live", f"{root}/checkpoint", ledger=f"{root}/ledger", archive=f"{root}/archive"
+        )
+        if spark.read.text(f"{root}/landing").count():
+            raise RuntimeError("documents that were taken are still in the landing folder")
+    return read_days(spark, f"{root}/live")
+
+
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through a landing folder; empty ones are not sent."""
     folder = f"{work_dir(spark, 'published')}/landing"
@@ -256,7 +301,7 @@ def _mart_rows(spark: SparkSession, out: str) -> DataFrame:
         texts, numbers = _mart_columns(name)
         if {*texts, *numbers} != {*mart.columns}:
             raise ValueError(f"{name} has {mart.columns}")
-        given = [F.round(F.col(c).cast("double"), 6) for c in numbers] + [F.lit(None).cast("double")] * _NUMBERS
+        given = [F.col(c).cast("double") for c in numbers] + [F.lit(None).cast("double")] * _NUMBERS
         return mart.select(
             F.lit(name).alias("mart"),
             F.concat_ws("|", F.lit(""), *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in texts)).alias("label"),
@@ -272,7 +317,7 @@ def _mart_rows_sql(stores: str = _STORES_SQL) -> str:
     def picked(name: str) -> str:
         texts, numbers = _mart_columns(name)
         label = " || ".join(["''", *(f"'|' || coalesce(CAST({c} AS VARCHAR), '-')" for c in texts)])
-        given = [f"round(CAST({c} AS DOUBLE), 6)" for c in numbers] + ["CAST(NULL AS DOUBLE)"] * _NUMBERS
+        given = [f"CAST({c} AS DOUBLE)" for c in numbers] + ["CAST(NULL AS DOUBLE)"] * _NUMBERS
         values = ", ".join(f"{value} AS number_{i}" for i, value in enumerate(given[:_NUMBERS]))
         return f"SELECT '{name}' AS mart, {label} AS label, {values} FROM ({sql[name]}) AS s"
 
@@ -332,7 +377,7 @@ def _plain_store(spark: SparkSession, sf_dir: str, root: str) -> None:
         dated.filter(kind == 2),
     )
     for number, own in enumerate(kinds):
-        own.drop("shipped").hint("rebalance", *parts).write.partitionBy(*parts).parquet(f"{root}-{number}")
+        own.drop("shipped").repartition(spark.sparkContext.defaultParallelism, *parts).write.partitionBy(*parts).parquet(f"{root}-{number}")
         made, day = f"{root}-{number}", r"/y=(\d+)/m=(\d+)/d=(\d+)/"
         found = {re.search(day, file).groups() for file in spark.read.schema("id string").parquet(made).inputFiles()}
         places = ((f"{made}/y={y}/m={m}/d={d}", f"{root}/{y}/{m}/{d}.parquet") for y, m, d in sorted(found))
@@ -355,6 +400,32 @@ def _takeover_sql() -> str:
     return approaches_sql("lineitem", changed, parts)
 
 
+def _footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the union table and the range of three measures, by store and year, from footers."""
+    root = work_dir(spark, "footers")
+    jobs.union(spark, *stores(spark, sf_dir, root), f"{root}/union")
+    return union_summary(spark, f"{root}/union", FOOTER_COLUMNS, by=("store", "year"))
+
+
+def _total_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_dir(spark, "total")
+    jobs.union(spark, *stores(spark, sf_dir, root), f"{root}/union")
+    return jobs.total_mart(spark, f"{root}/union")
+
+
+FOOTER_COLUMNS = ("estimated_diameter_min_kilometers", "miss_distance_astronomical", "epoch_date_close_approach")
+
+
+def _footers_sql() -> str:
+    parts = [f"min({name}) AS min_{name}, max({name}) AS max_{name}" for name in FOOTER_COLUMNS]
+    stored = (("hist", f"feed_date <= DATE '{OLD_END}'"), ("live", f"feed_date >= DATE '{RECENT_START}'"))
+    return f"WITH e AS ({_LINEITEM_DATED_SQL}) " + " UNION ALL ".join(
+        f"""SELECT '{store}' AS store, CAST(year(feed_date) AS INTEGER) AS "year", count(*) AS row_count, {', '.join(parts)}
+        FROM e WHERE {where} GROUP BY year(feed_date)"""
+        for store, where in stored
+    )
+
+
 def _table_rows(spark: SparkSession, name: str) -> DataFrame:
     """Rows of a table whose entries go; its files stay and are read."""
     rows = spark.table(name)
@@ -451,6 +522,10 @@ QUERIES: dict[str, Query] = {
     "publish_documents": Query(_published, _PUBLISHED_SQL),
     "backfill_job": Query(_backfill, _last_of_day_sql(HIST_END)),
     "live_job": Query(_live, _last_of_day_sql()),
+    "backfill_again": Query(_backfill_again, _BACKFILL_AGAIN_SQL),
+    "live_job_archive": Query(_live_archived, _last_of_day_sql()),
+    "union_summary_from_footers": Query(_footers, _footers_sql()),
+    "total_from_footers": Query(_total_from_footers, f"SELECT count(*) AS Total_Close_Approaches FROM ({_STORES_SQL}) AS s"),
     "backfill_missing_days": Query(_backfill_missing, _BACKFILL_MISSING_SQL),
     "live_job_file_limit": Query(_live_limited, _last_of_day_sql()),
     "relay_whole_files": Query(_relayed, _RELAYED_SQL),

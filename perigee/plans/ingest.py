@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from perigee.operators.days import day_range
 from perigee.operators.flatten import day_lists, flatten_lists
+from perigee.plans.ledger import changed_days, enter, read_ledger, with_digest
 from perigee.session import work_table
 from perigee.sinks.days import write_days
 from perigee.sinks.files import exists, remove
@@ -42,19 +43,29 @@ def ingest(
     start: date | None = None,
     end: date | None = None,
     every_day: bool = False,
+    ledger: str | None = None,
 ) -> int:
     """Write the newest usable list of each day to the day store at `out`; returns how many lists were unusable.
 
     The documents are parsed once, and what they hold is stored as a work table that the rest reads.
     Unusable lists go to `errors`, in place of what is there. With `every_day`, days from `start` to `end`
-    that no document has count as unusable too. A day is a single document and its list stays in one task, so the
+    that no document has count as unusable too. With `ledger`, days whose list is what the store has already are
+    left alone, and the days written are entered there; a run that is lost in between writes them again. A day is a single document and its list stays in one task, so the
     write needs no shuffle.
     """
     # Lines of one file block have the same origin; one task reads them in order, and the id follows.
     position = F.struct("origin", F.monotonically_increasing_id().alias("row"))
     lists = work_table(day_lists(documents.select("value", position.alias("position")), start, end), "lists")
     usable = F.col("reason").isNull()
-    write_days(flatten_lists(newest_lists(lists.filter(usable))), out, clustered=True)
+    newest = newest_lists(lists.filter(usable))
+    if ledger is None:
+        write_days(flatten_lists(newest), out, clustered=True)
+    else:
+        spark = documents.sparkSession
+        digests = with_digest(newest).select("feed_date", "digest", "filled")
+        changed = work_table(changed_days(digests, read_ledger(spark, ledger), out), "changed")
+        write_days(flatten_lists(newest.join(changed.select("feed_date"), "feed_date", "left_semi")), out, clustered=True)
+        enter(changed, ledger)
     bad = lists.filter(~usable).drop("objects")
     if every_day:
         days = day_range(documents.sparkSession, start, end).withColumnRenamed("day", "feed_date")

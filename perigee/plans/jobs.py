@@ -26,6 +26,7 @@ from perigee.sinks.days import dealt, drop_partitions, partition_values, write_p
 from perigee.sinks.files import current_path, replace_directory
 from perigee.sinks.marts import Touched, read_mart, register_table, write_mart
 from perigee.sources.feed import read_feed, stream_feed
+from perigee.sources.footers import union_summary
 from perigee.sources.stores import in_days, read_days, read_union
 from perigee.streaming.live import run_live
 
@@ -33,6 +34,7 @@ MARTS_AT_ONCE = 4
 # Fixed value: the union table's name. The rollup's is ours.
 UNION_TABLE = "asteroid_union_data"
 ROLLUP_TABLE = "asteroid_rollup"
+TOTAL = KPI_MARTS["kpi/total_close_approaches"].keywords["n"]
 
 
 def backfill(
@@ -43,14 +45,16 @@ def backfill(
     end: date,
     errors: str | None = None,
     whole_files: bool = False,
+    ledger: str | None = None,
 ) -> None:
     """Store the days from `start` to `end` of all landed documents.
 
     Raises FeedErrors after the usable days are stored if some documents were not usable, or if
-    some of the days have no document at all; the error table lists both.
+    some of the days have no document at all; the error table lists both. With `ledger`, a run that is started again
+    writes only the days whose lists are not stored yet, or not in that form.
     """
     errors = errors or f"{out}_errors"
-    unusable = ingest(read_feed(spark, landing, whole_files), out, errors, start, end, every_day=True)
+    unusable = ingest(read_feed(spark, landing, whole_files), out, errors, start, end, every_day=True, ledger=ledger)
     if unusable:
         raise FeedErrors(unusable, errors)
 
@@ -68,13 +72,18 @@ def live(
     out: str,
     checkpoint: str,
     errors: str | None = None,
+    ledger: str | None = None,
+    archive: str | None = None,
+    keep_seen: str | None = None,
 ) -> None:
     """Store the days of messages that arrived since the last run.
 
-    `source` is a landing folder, or a stream of documents such as `stream_topic` gives.
+    `source` is a landing folder, or a stream of documents such as `stream_topic` gives. Of a landing folder, files are
+    moved below `archive` when they are stored, if it is given. `ledger` is as for `backfill`.
     """
-    documents = stream_feed(spark, source) if isinstance(source, str) else source
-    run_live(documents, out, checkpoint, errors or f"{out}_errors")
+    landed = isinstance(source, str)
+    documents = stream_feed(spark, source, archive=archive, keep_seen=keep_seen) if landed else source
+    run_live(documents, out, checkpoint, errors or f"{out}_errors", ledger, archive if landed else None)
 
 
 def union(
@@ -160,6 +169,11 @@ def kpi_marts(spark: SparkSession, union_table: str, out: str) -> None:
     _write_marts(_period_marts(KPI_MARTS, days), out)
 
 
+def total_mart(spark: SparkSession, union_table: str) -> DataFrame:
+    """The total of approaches, as the KPI mart has it, from the footers of the union table."""
+    return union_summary(spark, union_table).select(F.col("row_count").alias(TOTAL))
+
+
 def daily(
     spark: SparkSession,
     hist: str,

@@ -32,10 +32,24 @@ def read_feed(spark: SparkSession, path: str, whole_files: bool = False) -> Data
 
 
 def stream_feed(
-    spark: SparkSession, path: str, max_files: int | None = None, whole_files: bool = False
+    spark: SparkSession,
+    path: str,
+    max_files: int | None = None,
+    whole_files: bool = False,
+    archive: str | None = None,
+    keep_seen: str | None = None,
 ) -> DataFrame:
-    """Landed documents as a stream, oldest file first: one per line, or one per file with `whole_files`."""
+    """Landed documents as a stream, oldest file first: one per line, or one per file with `whole_files`.
+
+    With `archive`, Spark moves files there that an earlier batch has finished with, which also takes care of those that a
+    lost run left. `keep_seen` is how long names of seen files are remembered (such as "30d"; a week by default); a file
+    that lands with an older time than that before the newest is not taken.
+    """
     reader = spark.readStream.format("text").option("wholetext", whole_files)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    if keep_seen:
+        reader = reader.option("maxFileAge", keep_seen)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path).select("value", _file_origin().alias("origin"))

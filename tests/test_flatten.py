@@ -3,8 +3,10 @@ from datetime import date
 import pytest
 from conftest import rows
 from feeds import document, neo
+from pyspark.sql import functions as F
 
 from perigee.functions.documents import encode_feed
+from perigee.operators import flatten
 from perigee.operators.flatten import (
     BAD_DAY,
     BAD_VALUE,
@@ -154,3 +156,9 @@ def test_encode_then_flatten(spark):
         encode_feed(F.col("feed.element_count"), F.col("feed.near_earth_objects")).alias("value")
     )
     assert rows(flatten_feed(again)) == rows(flatten_feed(first))
+
+
+def test_whole_numbers_are_not_rounded(spark):
+    texts = ["2", "2.0", "-7.000", "2.0000004", "2.5", "1.5e3", "1e-1", " 4 ", "", "x", "9223372036854775807", "9223372036854775808", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").select("t", flatten._whole(F.col("t"), "bigint").alias("n"))
+    assert [row.n for row in frame.collect()] == [2, 2, -7, None, None, 1500, None, 4, None, None, 2**63 - 1, None, None]
