@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,13 +51,37 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/perigee/{name}-{uuid.uuid4().hex}"
 
 
-def work_table(df: DataFrame, name: str) -> DataFrame:
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Work tables written inside are removed when it ends, but for those written with `keep`.
+
+    For steps towards a result: what is kept must have been written, not only planned, before the scope ends.
+    """
+    made: list[str] = []
+    token = _scopes.set((*_scopes.get(), made))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in made:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
+def work_table(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     For small results that several outputs start from: the scan behind them runs once, and a
-    lost executor costs a re-read of the small table, not the scan.
+    lost executor costs a re-read of the small table, not the scan. Inside a `work_scope` the table goes with it, or
+    with the scope around that if it is to be kept.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
+    scopes = _scopes.get()[:-1] if keep else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
