@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from perigee.plans import jobs
 from perigee.schema import APPROACH_SCHEMA
+from perigee.session import work_scope, work_table
 from perigee.sinks.days import write_days
 from perigee.sinks.files import COMPLETE, current_path, remove, replace_directory, versions
 from perigee.sinks.marts import Touched, read_mart, register_table, unregister_table, write_mart
@@ -238,3 +239,18 @@ def test_other_files_are_refused(spark, tmp_path):
 def test_an_empty_store(spark, tmp_path):
     (tmp_path / "2024/01").mkdir(parents=True)
     assert read_plain_days(spark, str(tmp_path)).count() == 0 and file_types(spark, []) == {}
+
+
+def test_work_tables_go_with_their_scope(spark):
+    def place(frame):
+        return Path(frame.inputFiles()[0].removeprefix("file://")).parent
+
+    with work_scope(spark):
+        with work_scope(spark):
+            step, kept = work_table(spark.range(3), "step"), work_table(spark.range(4), "kept", keep=True)
+            inner, outer = place(step), place(kept)
+        assert not inner.exists() and kept.count() == 4
+    assert not outer.exists()
+    with work_scope(spark):
+        result = work_table(spark.range(5), "result", keep=True)
+    assert result.count() == 5
