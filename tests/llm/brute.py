@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -258,3 +259,43 @@ def manifest(rows, arity):
     for g, top in zip(names, tops, strict=True):
         out += [(leaf[2], made[g][0], path + top) for leaf, path in zip(sorted(groups[g]), made[g][1], strict=True)]
     return out, root
+
+
+def article_by_paths(html):
+    """Blocks of a well-formed page without names and inline elements: from the first path that holds content to the last,
+    with all of the parts, below the innermost element around them, that they lie in, and headings right before."""
+    nodes, stack, numbers = [], [], iter(range(10**9))
+
+    class Reader(HTMLParser):
+        def handle_starttag(self, tag, attrs):
+            stack.append((tag, next(numbers)))
+
+        def handle_endtag(self, tag):
+            assert stack.pop()[0] == tag
+
+        def handle_data(self, data):
+            if data.strip():
+                nodes.append((list(stack), " ".join(data.split())))
+
+    Reader().feed(html)
+    score = []
+    for stack_, _ in nodes:
+        same = [t for other, t in nodes if [x[0] for x in other] == [x[0] for x in stack_]]
+        score.append(sum(map(len, same)) / len(same) * (1 + sum(c in ".,;:!?" for t in same for c in t) / len(same)))
+    at = lambda i: score[min(max(i, 0), len(score) - 1)]
+    smooth = [sum(w * at(i + k - 2) for k, w in enumerate((0.06, 0.24, 0.4, 0.24, 0.06))) for i in range(len(score))]
+    mean = sum(smooth) / len(smooth)
+    spread = math.sqrt(sum((x - mean) ** 2 for x in smooth) / len(smooth))
+    wanted = [i for i, x in enumerate(score) if x >= spread]
+    depth = 0
+    while all(nodes[i][0][depth : depth + 1] == nodes[wanted[0]][0][depth : depth + 1] != [] for i in wanted):
+        depth += 1
+    part = lambda i: nodes[i][0][depth : depth + 1]
+    first, last = wanted[0], wanted[-1]
+    while first and part(first) and part(first - 1) == part(first):
+        first -= 1
+    while first and nodes[first - 1][0][-1][0] in ("h1", "h2", "h3"):
+        first -= 1
+    while last + 1 < len(nodes) and part(last) and part(last + 1) == part(last):
+        last += 1
+    return "\n\n".join(text for _, text in nodes[first : last + 1])

@@ -476,3 +476,90 @@ def test_escaping_is_reversible(spark):
     rows = frame.withColumn("back", chat.unescape(F.col("e"))).collect()
     assert all(row.back == row.text for row in rows)
     assert not any(control in row.e for row in rows for control in chat.CONTROL)
+
+
+ARTICLE = (
+    "<h1>The title here</h1><p>First paragraph of the article, with some words and marks. It goes on.</p><h2>Part</h2>"
+    "<p>Second paragraph, longer than the first one was; it has words enough to be read.</p><p>The last. It ends here.</p>"
+)
+ARTICLE_TEXT = (
+    "The title here\n\nFirst paragraph of the article, with some words and marks. It goes on.\n\nPart\n\n"
+    "Second paragraph, longer than the first one was; it has words enough to be read.\n\nThe last. It ends here."
+)
+MENU = "<nav><a href=/>Home</a><a href=/x>Other things</a></nav>"
+FOOTER = "<footer>(c) 2024, Company. All rights reserved.</footer>"
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div style="overflow:hidden">',
+        '<div aria-hidden="false">',
+        '<div hidden="until-found">',
+        '<div class="layout no-sidebar">',
+        '<div class="with-menu">',
+        '<div id="page-header-fixed">',
+        '<div class="side-by-side">',
+        '<form action="/">',
+        '<div class="sidebar">',
+        '<div style="display: none">',
+    ],
+)
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", "<main>{}</main>"])
+def test_names_do_not_take_the_article(around, inner):
+    tag = around[1:].split(" ")[0]
+    page = f"<html><body>{MENU}{around}{inner.format(ARTICLE)}</{tag}>{FOOTER}</body></html>"
+    assert pages.main_text(page) == ARTICLE_TEXT
+    assert pages.main_text(page.replace("<h1>The title here</h1>", "")) == ARTICLE_TEXT.split("\n\n", 1)[1]
+
+
+def test_names_that_stand():
+    assert pages.main_text(f"<body>{MENU}{FOOTER}</body>") == ""
+    comments = "".join(f"<article class=comment><p>I think, this is comment {i}. And more.</p></article>" for i in range(40))
+    parts = (
+        f'<div class="comments">{comments}</div>',
+        '<div class="cookie-notice">We use cookies, as you know. Accept.</div>',
+        "<aside><p>Read this too, it is good. Yes.</p></aside>",
+        '<div hidden><p>Not shown, so not read. No.</p></div>',
+        '<div style="color:red; display:none"><p>Not shown, so not read. No.</p></div>',
+        '<p class="ad">Buy it, now. Buy it.</p>',
+        '<form><p>Your name, please. And your mail.</p><button>Send</button></form>',
+    )
+    for part in parts:
+        for article in (f"<article>{ARTICLE}</article>", f"<div>{ARTICLE}</div>"):
+            assert pages.main_text(f"<body>{MENU}{article}{part}{FOOTER}</body>") == ARTICLE_TEXT
+    # A paragraph to be noticed is a part of the article, and so is a comment in code.
+    noticed = f"<article>{ARTICLE}<p class=notice>Mind the gap, please.</p></article>"
+    assert pages.main_text(noticed) == f"{ARTICLE_TEXT}\n\nMind the gap, please."
+    code = f"<article>{ARTICLE}<pre>a = 1 <span class=comment># one</span></pre></article>"
+    assert pages.main_text(code) == f"{ARTICLE_TEXT}\n\na = 1 # one"
+
+
+def test_pages_without_an_article_element_keep_all_parts_with_content():
+    body = "".join(f"<p>{text}</p>" for text in ("Long text, it is so. " * 30, "More text, this is. " * 20))
+    page = f"<div id=content><div class=intro><p>Some intro, here.</p></div><div class=body>{body}</div></div>"
+    assert pages.main_text(page).startswith("Some intro, here.\n\nLong text")
+
+
+def test_path_scores_agree_with_a_plain_version():
+    r = random.Random(11)
+    for _ in range(60):
+        blocks = []
+        for _ in range(r.randrange(1, 7)):
+            tag = r.choice(["div", "section", "ul"])
+            inner = []
+            for _ in range(r.randrange(0, 6)):
+                leaf = r.choice(["p", "p", "h2", "td", "li"])
+                mark = r.choice(["", ".", ", so."])
+                inner.append(f"<{leaf}>{prose(r, r.choice([1, 3, 20, 60]))}{mark}</{leaf}>")
+            blocks.append(f"<{tag}>{''.join(inner)}</{tag}>")
+        blocks.append("<div><p>One more, at the end.</p></div>")
+        page = f"<body>{''.join(blocks)}</body>"
+        assert pages.main_text(page) == brute.article_by_paths(page)
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 5000 + "<p>Deep down, a text.</p>" + "</div>" * 5000
+    assert pages.main_text(deep) == "Deep down, a text."
+    long_one = "<article>" + "<p>One more paragraph, of many. " * 20000 + "</article>"
+    assert pages.main_text(long_one).count("\n\n") == 19999
