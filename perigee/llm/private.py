@@ -1,10 +1,10 @@
 """Personal data, and terms that would give it away.
 
 Emails, addresses, cards and phones are found by pattern. All terms of the texts that hold such a value are then
-measured by what they disclose of it: the pointwise mutual information of term and value, counted over
-the different texts of the corpus, as a share of the value's own information. A term that hardly occurs but with
-the value has a share near 1; what few texts say is discounted in the estimate. Beyond one threshold terms are
-generalised, beyond another removed. Everything is DataFrame functions.
+measured by what they disclose of it, counted over the different texts of the corpus: how likely the value is
+where the term stands. The likelihood is the lower end of its confidence interval, so
+few texts say little, and it hangs on the texts with the term only: texts that have neither change nothing, however many
+they are. The value's own information says whether the two may have met by chance. Beyond one threshold terms are generalised to their class, beyond another removed. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -33,12 +33,15 @@ POSSIBLE = {
 }
 KINDS = (*PATTERNS, "term")
 TERM = r"\p{L}{3,}"
-#: Texts that the estimate of how often a term's texts hold a value adds to those counted, with the value as often as
-#: in the whole corpus. So a term of one text keeps a fifth of its probability, one of forty ten elevenths.
-PRIOR = 4
-#: Shares of a value's information from which a term is generalised, and removed.
-GENERALISE = 0.7
-REMOVE = 0.9
+#: Standard deviations between an estimated share and its lower bound. A term whose n texts all have the value
+#: gets n / (n + 1): one text gives 0.5, four give 0.8; three texts of four 0.5, half of them never 0.5.
+DEVIATIONS = 1.0
+#: Lower bounds from which a term is generalised, and removed. They lie just below the values of one and of four texts.
+GENERALISE = 0.48
+REMOVE = 0.79
+#: Bits of evidence that a term's texts do not hold the value by chance: each that does counts the value's own information.
+#: One text is enough for a value that at most a 128th of all texts hold, two for a value of less than an eleventh.
+LEAST_BITS = 7.0
 #: Remainders of hashes by which rows are thinned out before a shuffle; there cannot be more values to broadcast.
 THIN_VALUES = 1 << 20
 
@@ -117,6 +120,22 @@ def find_values(docs: DataFrame) -> DataFrame:
     return placed.filter(_valid(F.col("kind"), F.col("value"))).select("key", "kind", "value", "start", "end")
 
 
+def lower_bound(hits: Column, of: Column) -> Column:
+    """The lower end of the Wilson interval of hits / of."""
+    share, z2 = hits / of, DEVIATIONS**2
+    spread = F.sqrt(share * (1 - share) / of + z2 / (4 * of * of))
+    return (share + z2 / (2 * of) - DEVIATIONS * spread) / (1 + z2 / of)
+
+
+def term_class(term: Column) -> Column:
+    """What a term is generalised to, by its writing: a name, a word in capitals, or a plain word."""
+    return (
+        F.when((F.upper(term) == term) & (F.lower(term) != term), "CAPITALS")
+        .when(F.substr(term, F.lit(1), F.lit(1)) != F.lower(F.substr(term, F.lit(1), F.lit(1))), "NAME")
+        .otherwise("WORD")
+    )
+
+
 def _thinned(rows: DataFrame, column: Column, wanted: DataFrame) -> DataFrame:
     """Rows whose `column` may be one of the only column of `wanted`, longs; none that is gets lost."""
     kept = F.pmod(F.col(wanted.columns[0]), F.lit(THIN_VALUES)).cast("int").alias("__thin")
@@ -144,13 +163,17 @@ def _masked(text: Column) -> Column:
 
 
 def term_tokens(docs: DataFrame, values: DataFrame) -> DataFrame:
-    """key, term, start and end of all terms of the texts that hold values, without what the patterns match."""
+    """key, term, class, start and end of all terms of the texts that hold values, without what the patterns match."""
     keys = values.select("key").distinct()
     keyed = docs.select(document_key().alias("key"), "text")
-    texts = _thinned(keyed, F.col("key"), keys).join(keys, "key", "left_semi").dropDuplicates(["key"])
+    texts = _thinned(keyed, F.col("key"), keys).join(keys, "key", "left_semi")
+    # Dealt by rows: each becomes hundreds, so partitions that are packed by bytes would be few and long.
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = texts.repartition(shares, "key").dropDuplicates(["key"])
     texts = texts.select("key", _masked(F.col("text")).alias("text"))
     tokens = texts.select("key", F.inline(_placed(F.col("text"), TERM, "term"))).select("key", "kind", "i", "gap", "value")
-    return _spans(tokens).select("key", F.lower("value").alias("term"), "start", "end")
+    kind = term_class(F.col("value")).alias("class")
+    return _spans(tokens).select("key", F.lower("value").alias("term"), kind, "start", "end")
 
 
 def value_holders(values: DataFrame) -> DataFrame:
@@ -165,12 +188,11 @@ def value_holders(values: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, values: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
-    """key, term and `share`, the most that the term gives of the information of a value of the text, from GENERALISE on.
+    """key, term and `share`, the most that a value of the text is at least likely to be where the term is, from GENERALISE on.
 
     Counts are of different texts, and go over all of them: how many there are, how many have the value, the term,
-    both. Every term of a text with a value is measured, from one text on: how likely the value is where the
-    term stands is estimated with PRIOR further texts of the corpus' own share. `tokens` is what
-    `term_tokens` gives.
+    both. Every term of a text with a value is measured, from one text on. The number of all texts counts only for the
+    evidence, so it decides nothing about values that at most a 128th of them hold. `tokens` is what `term_tokens` gives.
     """
     tokens = term_tokens(docs, values) if tokens is None else tokens
     held = tokens.select("key", "term").distinct().join(work_table(value_holders(values), "private-holders"), "key")
@@ -181,36 +203,36 @@ def disclosing_terms(docs: DataFrame, values: DataFrame, tokens: DataFrame | Non
     counts = words.groupBy("term").agg(F.count("*").alias("with_term"))
     # Letters that touch a value can be a term only without it.
     measured = together.join(counts, "term", "left").withColumn("with_term", F.greatest("with_term", "both"))
-    usual = F.col("with_value") / F.lit(total)
-    given = (F.col("both") + PRIOR * usual) / (F.col("with_term") + PRIOR)
-    share = F.when(usual < 1, F.log2(given / usual) / -F.log2(usual))
-    measured = measured.select("holders", "term", share.alias("share")).filter(F.col("share") >= GENERALISE)
+    share = lower_bound(F.col("both").cast("double"), F.col("with_term").cast("double"))
+    bits = F.col("both") * F.log2(F.lit(total) / F.col("with_value"))
+    measured = measured.withColumn("share", share).filter((F.col("share") >= GENERALISE) & (bits >= LEAST_BITS))
+    measured = measured.select("holders", "term", "share")
     flagged = work_table(measured, "private-flagged")
     return held.join(flagged, ["holders", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
 
 
 def find_terms(docs: DataFrame, values: DataFrame) -> DataFrame:
-    """Spans of disclosing terms in the documents that hold the value they give away: key, kind, start, end, share."""
+    """Spans of disclosing terms in the documents that hold the value they give away: key, kind, class, start, end, share."""
     tokens = work_table(term_tokens(docs, values), "private-tokens")
     wanted = disclosing_terms(docs, values, tokens)
-    return tokens.join(wanted, ["key", "term"]).select("key", F.lit("term").alias("kind"), "start", "end", "share")
+    return tokens.join(wanted, ["key", "term"]).select("key", F.lit("term").alias("kind"), "class", "start", "end", "share")
 
 
 def find_private(docs: DataFrame) -> DataFrame:
-    """All spans: key (see `document_key`), kind, start, end and, for terms, share."""
+    """All spans: key (see `document_key`), kind, start, end and, for terms, share and class."""
     values = work_table(find_values(docs), "private-values")
-    found = values.select("key", "kind", "start", "end", F.lit(None).cast("double").alias("share"))
-    return found.unionByName(find_terms(docs, values))
+    found = values.select("key", "kind", "start", "end")
+    return found.unionByName(find_terms(docs, values), allowMissingColumns=True)
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id, text and any others) with values and disclosing terms replaced in their texts.
 
-    Values become their kind in brackets, terms [TERM], or nothing if they disclose too much. Overlapping spans
+    Values become their kind in brackets, terms their class ([NAME], [CAPITALS], [WORD]), or nothing if they disclose too much. Overlapping spans
     are replaced as one, by the name of the first. A null text stays null; texts without spans stay as they are.
     """
     label = F.when(F.col("kind") != "term", F.concat(F.lit("["), F.upper("kind"), F.lit("]"))).otherwise(
-        F.when(F.col("share") >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
+        F.when(F.col("share") >= REMOVE, F.lit("")).otherwise(F.concat(F.lit("["), F.col("class"), F.lit("]")))
     )
     spans = find_private(docs).select("key", "start", "end", label.alias("label"))
     order = Window.partitionBy("key").orderBy("start", "end")

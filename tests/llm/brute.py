@@ -8,6 +8,8 @@ import re
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
 
+import regex
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PATTERNS = {
@@ -299,3 +301,40 @@ def article_by_paths(html):
     while last + 1 < len(nodes) and part(last) and part(last + 1) == part(last):
         last += 1
     return "\n\n".join(text for _, text in nodes[first : last + 1])
+
+
+def term_spans(texts, least=0.48, bits=7.0):
+    """For each text (start, end, lower bound) of the terms that give away a value of it."""
+    different = {*texts}
+    values, terms, masked = {}, {}, {}
+    for text in different:
+        values[text] = {(kind, (text or "")[a:b].lower()) for kind, a, b in private_spans(text)}
+        masked[text] = text or ""
+        for pattern in PATTERNS.values():
+            masked[text] = re.sub(pattern, lambda m: "0" * len(m.group()), masked[text])
+        terms[text] = {t.lower() for x in (text or "", masked[text]) for t in regex.findall(r"\p{L}{3,}", x)}
+    own = {text: {t.lower() for t in regex.findall(r"\p{L}{3,}", masked[text])} for text in different}
+    holding, having = defaultdict(set), defaultdict(set)
+    for text in different:
+        for value in values[text]:
+            holding[value].add(text)
+        for term in terms[text]:
+            having[term].add(text)
+    bounds = {}
+    for value, holders in holding.items():
+        for text in holders:
+            for term in own[text]:
+                n = len(having[term])
+                both = sum(term in own[x] for x in holders)
+                p = both / n
+                low = (p + 1 / (2 * n) - math.sqrt(p * (1 - p) / n + 1 / (4 * n * n))) / (1 + 1 / n)
+                if low >= least and both * math.log2(len(different) / len(holders)) >= bits:
+                    bounds[text, term] = max(low, bounds.get((text, term), 0))
+    return [
+        [
+            (m.start(), m.end(), bounds[text, m.group().lower()])
+            for m in regex.finditer(r"\p{L}{3,}", masked[text])
+            if (text, m.group().lower()) in bounds
+        ]
+        for text in texts
+    ]

@@ -386,7 +386,47 @@ def test_terms_of_a_value_that_one_document_holds(spark):
     found = frame.select("doc_id", private.document_key().alias("key")).join(private.find_private(frame), "key")
     assert {row.doc_id for row in found.filter("kind = 'term'").collect()} == {700, 701, *range(800, 830)}
     cleaned = by_id(private.sanitise(frame), "text")
-    assert cleaned[700][0] == f"[TERM], [TERM]\n{rows[600][1].split(chr(10))[1]}\n[TERM] to [EMAIL]"
+    assert cleaned[700][0] == f"[NAME], [NAME]\n{rows[600][1].split(chr(10))[1]}\n[WORD] to [EMAIL]"
+
+
+def private_texts():
+    r = random.Random(8)
+    texts = [f"{prose(r, 12)} signed Oakenbrook and ACME at x{i}.y@mail.org {prose(r, 9)}" for i in range(3)]
+    texts += [f"{prose(r, 9)} Quillfeather of the brownstone mails q.f@mail.org {prose(r, i)}" for i in range(6)]
+    texts += [f"{prose(r, 9)} a brownstone house {prose(r, 9)}" for _ in range(7)]
+    texts += [f"{prose(r, 9)} Twofold writes 10.1.2.{i // 2} {prose(r, 5)}" for i in range(8)]
+    texts += [f"{prose(r, 9)} Twofold rests {prose(r, 5)}" for _ in range(4)]
+    return [*texts, None, "", texts[0], texts[3], "q.f@mail.org", "Oneoff pays 4111 1111 1111 1111 to zork.a@b.co"]
+
+
+def test_terms_agree_with_a_plain_version(spark):
+    r = random.Random(9)
+    texts = [*private_texts(), *(prose(r, r.randrange(1, 60)) for _ in range(400))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = frame.select("doc_id", private.document_key().alias("key"))
+    spans = keyed.join(private.find_private(frame).filter("kind = 'term'"), "key").collect()
+    wanted = [(i, *span) for i, found in enumerate(brute.term_spans(texts)) for span in found]
+    assert sorted((x.doc_id, x.start, x.end, round(x.share, 9)) for x in spans) == sorted(
+        (i, a, b, round(low, 9)) for i, a, b, low in wanted
+    )
+    # Both branches: a name of all six texts of a value goes, one of a single text becomes its class.
+    cleaned = by_id(private.sanitise(frame), "text")
+    assert "Quillfeather" not in cleaned[3][0] and "brownstone" in cleaned[3][0]
+    assert cleaned[len(private_texts()) - 1][0] == "[NAME] [WORD] [CARD] to [EMAIL]"
+
+
+def test_terms_do_not_hang_on_the_size_of_the_corpus(spark):
+    own = spark.createDataFrame(list(enumerate(private_texts())), "doc_id long, text string")
+    spans = []
+    for others in (2_000, 60_000):
+        words = F.transform(
+            F.sequence(F.lit(1), F.lit(12)),
+            lambda i: F.element_at(F.array(*map(F.lit, VOCABULARY)), 1 + F.pmod(F.hash("id", i), F.lit(len(VOCABULARY)))),
+        )
+        rest = spark.range(others).select((F.col("id") + 1_000).alias("doc_id"), F.array_join(words, " ").alias("text"))
+        found = private.find_private(own.unionByName(rest))
+        spans.append(sorted(tuple(x) for x in found.select("key", "kind", "start", "end", "share", "class").fillna("").fillna(0.0).collect()))
+    assert spans[0] == spans[1] and any(x[1] == "term" for x in spans[0])
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
