@@ -3,7 +3,9 @@
 Words are counted exactly, by block: a block's texts are kept as places in the block's own list of words, so what
 is shuffled for counting and looking up is one row per word and block, not per word of text. Counts of
 word pairs are quantised to powers of two and put into a Bloom filter, a pair once for each
-level up to its own; a count is read back by probing level after level until one is missing. The probability
+level up to its own; a count is read back by probing level after level until one is missing. The filter holds all
+pairs, from one occurrence on. It is cut into parts by hash; up to a stated size all parts are broadcast, beyond it each
+block's pairs are sent to the parts and the levels found sent back, which gives the same counts. The probability
 of a word mixes what the filter says of the pair with the word's own smoothed share; how much of each is left
 open, and a text's probability is the mean over several answers, so texts made of known phrases gain by
 the pairs and others lose next to nothing.
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perigee.llm.code import ship_code
-from perigee.llm.filters import signed, unsigned
+from perigee.llm.filters import signed
 from perigee.llm.words import SPACES, combine, mix, separated_by, slices, text_bytes, word_hashes
 from perigee.session import work_dir, work_table
 
@@ -30,10 +32,12 @@ from perigee.session import work_dir, work_table
 BLOCK_BYTES = 1 << 23
 #: Words that are scored at a time.
 SLICE_WORDS = 1 << 17
-#: Bits of a segment. A pair's probes lie in one segment, so each is filled by one task.
-SEGMENT_BITS = 1 << 19
-#: The filter has about ten bits an entry, up to this size; beyond it, rarer pairs are left to the words' own shares.
-MOST_BITS = 1 << 29
+#: Tokens of all blocks per part of the filter. A part's pairs are counted, put in and looked up by one task each.
+PART_TOKENS = 1 << 20
+#: There are no more parts than this; the rest of a pair's hash, 40 bits, tells it from others of its part.
+MOST_PARTS = 1 << 24
+#: A filter of up to so many bytes is broadcast.
+BROADCAST_BYTES = 1 << 25
 BITS_PER_ENTRY = 10
 PROBES = 4
 #: Shares of the pairs in a word's probability, each as likely as the others before a text is read.
@@ -52,6 +56,18 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
+def _packed_names(codes: np.ndarray) -> bytes:
+    """The lower five bytes of each code, byte by byte."""
+    return np.ascontiguousarray(codes.astype("<u8").view(np.uint8).reshape(-1, 8).T[:5]).tobytes()
+
+
+def _unpacked_names(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, dtype=np.uint8).reshape(5, -1)
+    whole = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    whole[:, :5] = planes.T
+    return whole.view("<u8").ravel()
+
+
 def encode(docs: DataFrame) -> DataFrame:
     """Blocks of the texts (doc_id, train, text): ids, train flags, offsets, and each token's place in the block's list.
 
@@ -125,111 +141,146 @@ def _contexts(tokens: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return before
 
 
-def pair_counts(blocks: DataFrame) -> DataFrame:
-    """pair, n: how often each pair of tokens follows one another in training texts."""
+def pair_codes(before: np.ndarray, tokens: np.ndarray, parts: int) -> np.ndarray:
+    """A code of each pair: the part of the filter it belongs to, then 40 bits of its name there."""
+    pairs = combine(before, tokens)
+    return (pairs & np.uint64(parts - 1)) << np.uint64(40) | pairs >> np.uint64(24)
+
+
+def _by_part(codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Part, first and last of sorted codes."""
+    if not len(codes):
+        return
+    owners = codes >> np.uint64(40)
+    starts = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]]))
+    yield from zip(owners[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(codes)], strict=True)
+
+
+def block_pairs(blocks: DataFrame, parts: int, training: bool) -> DataFrame:
+    """block, part, names, counts: the different pairs of each block, a row per part, names ascending.
+
+    In training texts only and with their counts there, or in all texts and without counts.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for train, ends, places, names in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for block, train, ends, places, names in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ends = np.frombuffer(ends, dtype=np.int64)
                 tokens = np.frombuffer(names, dtype=np.uint64)[_unpacked(places)]
-                learnt = np.repeat(np.frombuffer(train, dtype=bool), np.diff(ends, prepend=0))
-                pairs = combine(_contexts(tokens, ends), tokens)[learnt]
-                pairs, counts = np.unique(pairs, return_counts=True)
-                del tokens, learnt
-                for low in range(0, len(pairs), 1 << 16):
-                    yield pa.RecordBatch.from_arrays(
-                        [signed(pairs[low : low + (1 << 16)]), pa.array(counts[low : low + (1 << 16)], pa.int64())],
-                        names=["pair", "n"],
-                    )
+                codes = pair_codes(_contexts(tokens, ends), tokens, parts)
+                del tokens
+                if training:
+                    codes = codes[np.repeat(np.frombuffer(train, dtype=bool), np.diff(ends, prepend=0))]
+                codes, counts = np.unique(codes, return_counts=True)
+                cuts = list(_by_part(codes))
+                columns = [
+                    pa.array([block] * len(cuts), pa.int64()),
+                    pa.array([part for part, _, _ in cuts], pa.int32()),
+                    pa.array([_packed_names(codes[first:last]) for _, first, last in cuts], pa.binary()),
+                    pa.array([_packed(counts[first:last]) if training else None for _, first, last in cuts], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "names", "counts"])
 
-    rows = blocks.select("train", "ends", "places", "names").mapInArrow(read, "pair long, n long")
-    return rows.groupBy("pair").agg(F.sum("n").alias("n"))
+    rows = blocks.select("block", "train", "ends", "places", "names")
+    return rows.mapInArrow(read, "block long, part int, names binary, counts binary")
 
 
-@dataclass(frozen=True)
-class LogFrequencyFilter:
-    """Counts of pairs, rounded down to `least` times a power of two."""
-
-    bits: np.ndarray
-    least: int
-
-    def counts(self, pairs: np.ndarray) -> np.ndarray:
-        """The count the filter holds for each pair, 0 if none: levels are probed in turn until one is missing."""
-        out = np.zeros(len(pairs))
-        left, level = np.arange(len(pairs)), 0
-        while len(left) and level < 64:
-            left = left[self._holds(pairs[left], level)]
-            out[left] = self.least * 2.0**level
-            level += 1
-        return out
-
-    def _holds(self, pairs: np.ndarray, level: int) -> np.ndarray:
-        segments = len(self.bits) // (SEGMENT_BITS // 8)
-        base = (pairs & np.uint64(segments - 1)).astype(np.int64) * (SEGMENT_BITS // 8)
-        ok = np.ones(len(pairs), dtype=bool)
-        for places in _probes(pairs, np.full(len(pairs), level)):
-            ok &= (self.bits[base + (places >> 3)] >> (places & 7)) & 1 == 1
-        return ok
-
-
-def _probes(pairs: np.ndarray, levels: np.ndarray) -> Iterator[np.ndarray]:
-    """Bits of a segment that stand for a pair at a level."""
-    h = mix(pairs + (levels.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    step = (h >> np.uint64(40)) | np.uint64(1)
+def _probes(names: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int) -> Iterator[np.ndarray]:
+    """Bits, of so many, that stand for a name at a level."""
+    h = mix(names + (np.asarray(level).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    step, low, bits = h >> np.uint64(32) | np.uint64(1), np.uint64(0xFFFFFFFF), np.asarray(bits).astype(np.uint64)
     for i in range(PROBES):
-        yield ((h + np.uint64(i) * step) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
+        yield (((h + np.uint64(i) * step & low) * bits) >> np.uint64(32)).astype(np.int64)
 
 
-def build_filter(pairs: DataFrame, most_bits: int = MOST_BITS) -> LogFrequencyFilter:
-    """The filter of pairs (pair, n). It has at most `most_bits` bits, whatever the number of pairs.
+def fill_part(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The bytes of a part that holds names as often as `counts` says in all: each once for each level up to its own."""
+    names, places = np.unique(names, return_inverse=True)
+    levels = np.floor(np.log2(np.bincount(places, counts)) + 1e-9).astype(np.int64)
+    size = int((levels + 1).sum()) * BITS_PER_ENTRY // 8 + 8
+    bits = np.zeros(size * 8, dtype=np.uint8)
+    for level in range(int(levels.max(initial=-1)) + 1):
+        for at in _probes(names[levels >= level], level, size * 8):
+            bits[at] = 1
+    return np.packbits(bits, bitorder="little")
 
-    Pairs seen once are left out, and if the rest needs more bits than that, so are those below the least power
-    of two that makes them fit: there the words' own shares speak.
-    """
-    level = F.floor(F.log2(F.col("n").cast("double")) + F.lit(1e-9)).cast("int")
-    classes = {row.level: row.pairs for row in pairs.groupBy(level.alias("level")).agg(F.count("*").alias("pairs")).collect()}
-    least = 1
-    while True:
-        entries = sum(count * (x - least + 1) for x, count in classes.items() if x >= least)
-        if entries * BITS_PER_ENTRY <= most_bits:
-            break
-        least += 1
-    segments = 1
-    while segments * SEGMENT_BITS < min(entries * BITS_PER_ENTRY, most_bits):
-        segments *= 2
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        names, levels = unsigned(table.column(1).combine_chunks()), table.column(2).to_numpy()
-        names = np.repeat(names, levels + 1)
-        starts = np.cumsum(levels + 1) - levels - 1
-        levels = np.arange(len(names)) - np.repeat(starts, levels + 1)
-        bits = np.zeros(SEGMENT_BITS, dtype=np.uint8)
-        for places in _probes(names, levels):
-            bits[places] = 1
-        packed = np.packbits(bits, bitorder="little").tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [table.column(0).slice(0, 1).combine_chunks(), pa.array([packed], pa.binary())], names=["segment", "bits"]
+
+@dataclass(frozen=True)
+class LogFrequencyFilter:
+    """Counts of pairs, rounded down to powers of two: part i lies in bytes starts[i] to starts[i + 1]."""
+
+    data: np.ndarray
+    starts: np.ndarray
+
+    def levels(self, codes: np.ndarray) -> np.ndarray:
+        """How many levels the filter holds of each pair, 0 if none: they are probed in turn until one is missing."""
+        owner, names = (codes >> np.uint64(40)).astype(np.int64), codes & np.uint64((1 << 40) - 1)
+        base, bits = self.starts[owner], np.diff(self.starts)[owner] * 8
+        found = np.zeros(len(codes), dtype=np.uint8)
+        left = np.flatnonzero(bits)
+        for level in range(64):
+            ok = np.ones(len(left), dtype=bool)
+            for at in _probes(names[left], level, bits[left]):
+                ok &= (self.data[base[left] + (at >> 3)] >> (at & 7)) & 1 == 1
+            left = left[ok]
+            if not len(left):
+                break
+            found[left] += 1
+        return found
+
+    def counts(self, codes: np.ndarray) -> np.ndarray:
+        return level_counts(self.levels(codes))
+
+
+def level_counts(levels: np.ndarray) -> np.ndarray:
+    """The least count with so many levels."""
+    return np.where(levels > 0, 2.0 ** (levels.astype(float) - 1), 0.0)
+
+
+def build_parts(blocks: DataFrame, parts: int) -> DataFrame:
+    """part, bits: the parts of the filter of all pairs of training texts. Parts without pairs have no row."""
+
+    def fill(table: pa.Table) -> pa.Table:
+        rows = [(_unpacked_names(x), _unpacked(y)) for x, y in zip(*(table.column(c).to_pylist() for c in ("names", "counts")))]
+        bits = fill_part(*(np.concatenate(x) for x in zip(*rows, strict=True)))
+        return pa.table({"part": table.column("part").slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    pairs = block_pairs(blocks, parts, training=True).select("part", "names", "counts")
+    return pairs.groupBy("part").applyInArrow(fill, "part int, bits binary")
+
+
+def gather_parts(filled: DataFrame, parts: int) -> LogFrequencyFilter:
+    """The whole filter, for one that is known to be small."""
+    held = {row.part: row.bits for row in filled.collect()}
+    sizes = [len(held.get(part, b"")) for part in range(parts)]
+    data = np.frombuffer(b"".join(held[part] for part in sorted(held)), dtype=np.uint8)
+    return LogFrequencyFilter(data, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
+
+
+def probe_parts(blocks: DataFrame, filled: DataFrame, parts: int) -> DataFrame:
+    """block, part, levels: how many levels each of the different pairs of a block has, in the order of their codes."""
+
+    def probe(left: pa.Table, right: pa.Table) -> pa.Table:
+        data = right.column("bits").to_pylist()
+        data = np.frombuffer(data[0] if data else b"", dtype=np.uint8)
+        held = LogFrequencyFilter(data, np.array([0, len(data)]))
+        found = [held.levels(_unpacked_names(names)).tobytes() for names in left.column("names").to_pylist()]
+        return pa.table(
+            [left.column("block"), left.column("part"), pa.array(found, pa.binary())], names=["block", "part", "levels"]
         )
 
-    number = F.col("pair").bitwiseAND(F.lit(segments - 1)).cast("int")
-    rows = pairs.filter(F.col("n") >= F.lit(1 << least)).select(
-        number.alias("segment"), "pair", (level - F.lit(least)).alias("level")
-    )
-    held = np.zeros(segments * (SEGMENT_BITS // 8), dtype=np.uint8)
-    size = SEGMENT_BITS // 8
-    for segment, bits in rows.groupBy("segment").applyInArrow(fill, "segment int, bits binary").collect():
-        held[segment * size : (segment + 1) * size] = np.frombuffer(bits, dtype=np.uint8)
-    return LogFrequencyFilter(held, 1 << least)
+    pairs = block_pairs(blocks, parts, training=False).select("block", "part", "names")
+    looked = pairs.groupBy("part").cogroup(filled.groupBy("part"))
+    return looked.applyInArrow(probe, "block long, part int, levels binary")
 
 
-def score_texts(docs: DataFrame, train: Column) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Scores of all texts (doc_id, text) under a model learnt from the rows for which `train` holds.
 
     Per row doc_id, train, n_tokens, n_known, train_tokens, base_score (words by their own smoothed shares) and
     score (the model's), both log10 probabilities. A null text is an empty one; an empty text is its end alone.
-    Rows with equal texts get equal scores. If there is nothing to learn from, every share is 1.
+    Rows with equal texts get equal scores. If there is nothing to learn from, every share is 1. A text longer than a
+    block is one of its own, read whole by one task. `broadcast_bytes` changes how pairs are looked up, not what is found.
     """
     spark = docs.sparkSession
     ship_code(spark)
@@ -245,9 +296,19 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
     )
     counted = work_table(counted.filter("c > 0"), "token-counts")
     tokens, types = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if("type")).first()
-    held = spark.sparkContext.broadcast(build_filter(work_table(pair_counts(blocks).filter("n > 1"), "pair-counts")))
+    parts = 1
+    while parts * PART_TOKENS < tokens and parts < MOST_PARTS:
+        parts *= 2
+    filled = work_table(build_parts(blocks, parts), "pair-filter")
+    size = filled.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
     total = float(tokens + types + 1)
     looked_up = counted.select("block", "place", "c")
+    held = None
+    if size <= broadcast_bytes:
+        held = spark.sparkContext.broadcast(gather_parts(filled, parts))
+    else:
+        levels = probe_parts(blocks, filled, parts).withColumnRenamed("part", "place")
+        looked_up = looked_up.unionByName(levels, allowMissingColumns=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -260,6 +321,16 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
         ends = np.frombuffer(row["ends"].as_buffer(), dtype=np.int64)
         places = _unpacked(row["places"].as_py())
         words = np.frombuffer(row["names"].as_buffer(), dtype=np.uint64)
+        if held is None:
+            sent = right.filter(pc.is_valid(right.column("levels"))).sort_by("place")
+            right = right.filter(pc.is_null(right.column("levels")))
+            tokens_here = words[places]
+            _, pair = np.unique(
+                pair_codes(_contexts(tokens_here, np.frombuffer(row["ends"].as_buffer(), dtype=np.int64)), tokens_here, parts),
+                return_inverse=True,
+            )
+            levels = np.frombuffer(b"".join(sent.column("levels").to_pylist()), dtype=np.uint8)[pair]
+            del tokens_here, pair, sent
         c = np.zeros(len(words), dtype=np.int64)
         c[right.column("place").to_numpy()] = right.column("c").to_numpy()
         log_share, known = np.log10((c + 1) / total), c > 0
@@ -274,7 +345,10 @@ def score_texts(docs: DataFrame, train: Column) -> DataFrame:
             before[1:] = here[:-1]
             before[starts] = end
             context = c[before].astype(float)
-            found = held.value.counts(combine(words[before], words[here]))
+            if held is None:
+                found = level_counts(levels[offsets[first] : offsets[last]])
+            else:
+                found = held.value.counts(pair_codes(words[before], words[here], parts))
             weight = context / (context + HALF_SEEN)
             seen = np.minimum(found / np.maximum(context, 1), 1)
             own = (c[here] + 1) / total

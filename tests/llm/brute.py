@@ -189,6 +189,29 @@ def unigram_scores(docs):
     return {i: (len(x), sum(t in counts for t in x), sum(map(score, x))) for i, x in tokens.items()}, total
 
 
+def pair_scores(docs, shares, half):
+    """The log10 probability of each document (id, text, train): the mean over `shares` of the pairs' part in the mixture."""
+    tokens = {i: [*WORD.findall(lower(text or "")), None] for i, text, _ in docs}
+    learnt = [tokens[i] for i, _, train in docs if train]
+    words = Counter(t for x in learnt for t in x)
+    pairs = Counter(p for x in learnt for p in zip([None, *x], x))
+    whole = sum(words.values()) + len(words) + 1
+    out = {}
+    for i, x in tokens.items():
+        answers = []
+        for share in shares:
+            total = 0.0
+            for before, token in zip([None, *x], x):
+                n, c = pairs[before, token], words[before]
+                own = (words[token] + 1) / whole
+                seen = min(2 ** int(math.log2(n)) / c, 1) if n else 0
+                total += math.log10(own + share * c / (c + half) * (seen - own))
+            answers.append(total)
+        best = max(answers)
+        out[i] = best + math.log10(sum(10 ** (a - best) for a in answers) / len(answers))
+    return out
+
+
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 

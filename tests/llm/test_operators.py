@@ -318,17 +318,34 @@ def test_scoring(docs, empty, odd, texts):
     assert set(untrained.values()) == {(0, 0.0)}
 
 
-def test_filter_holds_counts_rounded_down(spark):
+def test_filter_holds_counts_rounded_down():
     import numpy as np
 
-    rows = [(int(h), int(n)) for h, n in zip(np.arange(1, 4000) * 7919 - 10**7, np.arange(1, 4000) % 90 + 1, strict=True)]
-    held = scoring.build_filter(spark.createDataFrame(rows, "pair long, n long"))
-    found = held.counts(np.array([h for h, _ in rows]).astype(np.int64).view(np.uint64))
-    wanted = np.array([2 ** int(np.log2(n)) if n > 1 else 0 for _, n in rows])
+    names, counts = np.arange(1, 4000, dtype=np.uint64) * np.uint64(7919 << 14), np.arange(1, 4000) % 90 + 1
+    names &= np.uint64((1 << 40) - 1)
+    # Counts of several blocks add up.
+    bits = scoring.fill_part(np.concatenate([names, names[:500]]), np.concatenate([counts, counts[:500]]))
+    counts[:500] *= 2
+    found = scoring.LogFrequencyFilter(bits, np.array([0, len(bits)])).counts(names)
+    wanted = 2.0 ** np.floor(np.log2(counts))
     assert (found >= wanted).all()
     assert (found > wanted).mean() < 0.05
-    small = scoring.build_filter(spark.createDataFrame(rows, "pair long, n long"), most_bits=1 << 14)
-    assert small.least > held.least
+    # Pairs seen once are held, others hardly ever found; a filter without pairs holds none.
+    unseen = names + np.uint64(1)
+    assert (scoring.LogFrequencyFilter(bits, np.array([0, len(bits)])).counts(unseen) > 0).mean() < 0.05
+    assert not scoring.LogFrequencyFilter(np.zeros(0, np.uint8), np.array([0, 0])).counts(names).any()
+
+
+def test_scores_agree_with_a_plain_version(spark, docs, texts, monkeypatch):
+    train = F.col("doc_id") % 3 != 0
+    monkeypatch.setattr(scoring, "PART_TOKENS", 256)
+    monkeypatch.setattr(scoring, "BLOCK_BYTES", 2048)
+    broadcast = by_id(scoring.score_texts(docs, train), "score")
+    assert by_id(scoring.score_texts(docs, train, broadcast_bytes=0), "score") == broadcast
+    wanted = brute.pair_scores([(i, t, i % 3 != 0) for i, t in enumerate(texts)], scoring.PAIR_SHARES, scoring.HALF_SEEN)
+    # What differs is what the filter finds by chance: in a pair of a hundred, and then mostly one level too many.
+    apart = [abs(broadcast[i][0] - x) / (1 + abs(x)) for i, x in wanted.items()]
+    assert sum(apart) / len(apart) < 0.01 and sorted(apart)[len(apart) * 9 // 10] < 0.02
 
 
 def test_private(spark, docs, empty, odd, texts):
