@@ -4,8 +4,9 @@ Words are counted exactly, by block: a block's texts are kept as places in the b
 is shuffled for counting and looking up is one row per word and block, not per word of text. Counts of
 word pairs are quantised to powers of two and put into a Bloom filter, a pair once for each
 level up to its own; a count is read back by probing level after level until one is missing. The filter holds all
-pairs, from one occurrence on. It is cut into parts by hash; up to a stated size all parts are broadcast, beyond it each
-block's pairs are sent to the parts and the levels found sent back, which gives the same counts. The probability
+pairs, from one occurrence on. It is cut into parts by hash. If it cannot pass a stated size, all parts are broadcast;
+otherwise each block's pairs go to the tasks that fill the parts, are looked up there, and the levels found are sent back,
+which gives the same counts. The probability
 of a word mixes what the filter says of the pair with the word's own smoothed share; how much of each is left
 open, and a text's probability is the mean over several answers, so texts made of known phrases gain by
 the pairs and others lose next to nothing.
@@ -36,7 +37,7 @@ SLICE_WORDS = 1 << 17
 PART_TOKENS = 1 << 20
 #: There are no more parts than this; the rest of a pair's hash, 40 bits, tells it from others of its part.
 MOST_PARTS = 1 << 24
-#: A filter of up to so many bytes is broadcast.
+#: A filter that cannot have more bytes than this is broadcast; it has an entry per training token at most.
 BROADCAST_BYTES = 1 << 25
 BITS_PER_ENTRY = 10
 PROBES = 4
@@ -159,7 +160,7 @@ def _by_part(codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
 def block_pairs(blocks: DataFrame, parts: int, training: bool) -> DataFrame:
     """block, part, names, counts: the different pairs of each block, a row per part, names ascending.
 
-    In training texts only and with their counts there, or in all texts and without counts.
+    Counts are of training texts; with `training`, pairs that occur in others only are left out.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,15 +170,19 @@ def block_pairs(blocks: DataFrame, parts: int, training: bool) -> DataFrame:
                 tokens = np.frombuffer(names, dtype=np.uint64)[_unpacked(places)]
                 codes = pair_codes(_contexts(tokens, ends), tokens, parts)
                 del tokens
+                learnt = np.repeat(np.frombuffer(train, dtype=bool), np.diff(ends, prepend=0))
                 if training:
-                    codes = codes[np.repeat(np.frombuffer(train, dtype=bool), np.diff(ends, prepend=0))]
-                codes, counts = np.unique(codes, return_counts=True)
+                    codes, counts = np.unique(codes[learnt], return_counts=True)
+                else:
+                    codes, own = np.unique(codes, return_inverse=True)
+                    counts = np.bincount(own[learnt], minlength=len(codes))
+                    del own
                 cuts = list(_by_part(codes))
                 columns = [
                     pa.array([block] * len(cuts), pa.int64()),
                     pa.array([part for part, _, _ in cuts], pa.int32()),
                     pa.array([_packed_names(codes[first:last]) for _, first, last in cuts], pa.binary()),
-                    pa.array([_packed(counts[first:last]) if training else None for _, first, last in cuts], pa.binary()),
+                    pa.array([_packed(counts[first:last]) for _, first, last in cuts], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "part", "names", "counts"])
 
@@ -195,7 +200,8 @@ def _probes(names: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int)
 
 def fill_part(names: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The bytes of a part that holds names as often as `counts` says in all: each once for each level up to its own."""
-    names, places = np.unique(names, return_inverse=True)
+    names, places = np.unique(names[counts > 0], return_inverse=True)
+    counts = counts[counts > 0]
     levels = np.floor(np.log2(np.bincount(places, counts)) + 1e-9).astype(np.int64)
     size = int((levels + 1).sum()) * BITS_PER_ENTRY // 8 + 8
     bits = np.zeros(size * 8, dtype=np.uint8)
@@ -257,21 +263,24 @@ def gather_parts(filled: DataFrame, parts: int) -> LogFrequencyFilter:
     return LogFrequencyFilter(data, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
 
 
-def probe_parts(blocks: DataFrame, filled: DataFrame, parts: int) -> DataFrame:
-    """block, part, levels: how many levels each of the different pairs of a block has, in the order of their codes."""
+def probe_parts(blocks: DataFrame, parts: int) -> DataFrame:
+    """block, part, levels: how many levels each of the different pairs of a block has, in the order of their codes.
 
-    def probe(left: pa.Table, right: pa.Table) -> pa.Table:
-        data = right.column("bits").to_pylist()
-        data = np.frombuffer(data[0] if data else b"", dtype=np.uint8)
+    The task that fills a part looks up the pairs of all blocks that fall into it.
+    """
+
+    def probe(table: pa.Table) -> pa.Table:
+        names = [_unpacked_names(x) for x in table.column("names").to_pylist()]
+        counts = [_unpacked(x) for x in table.column("counts").to_pylist()]
+        data = fill_part(np.concatenate(names), np.concatenate(counts))
         held = LogFrequencyFilter(data, np.array([0, len(data)]))
-        found = [held.levels(_unpacked_names(names)).tobytes() for names in left.column("names").to_pylist()]
+        found = [held.levels(x).tobytes() for x in names]
         return pa.table(
-            [left.column("block"), left.column("part"), pa.array(found, pa.binary())], names=["block", "part", "levels"]
+            [table.column("block"), table.column("part"), pa.array(found, pa.binary())], names=["block", "part", "levels"]
         )
 
-    pairs = block_pairs(blocks, parts, training=False).select("block", "part", "names")
-    looked = pairs.groupBy("part").cogroup(filled.groupBy("part"))
-    return looked.applyInArrow(probe, "block long, part int, levels binary")
+    pairs = block_pairs(blocks, parts, training=False)
+    return pairs.groupBy("part").applyInArrow(probe, "block long, part int, levels binary")
 
 
 def score_texts(docs: DataFrame, train: Column, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -299,15 +308,14 @@ def score_texts(docs: DataFrame, train: Column, broadcast_bytes: int = BROADCAST
     parts = 1
     while parts * PART_TOKENS < tokens and parts < MOST_PARTS:
         parts *= 2
-    filled = work_table(build_parts(blocks, parts), "pair-filter")
-    size = filled.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
     total = float(tokens + types + 1)
     looked_up = counted.select("block", "place", "c")
     held = None
-    if size <= broadcast_bytes:
-        held = spark.sparkContext.broadcast(gather_parts(filled, parts))
+    # A pair seen n times has no more than n levels, so there are no more entries than tokens.
+    if tokens * BITS_PER_ENTRY // 8 + 8 * parts <= broadcast_bytes:
+        held = spark.sparkContext.broadcast(gather_parts(build_parts(blocks, parts), parts))
     else:
-        levels = probe_parts(blocks, filled, parts).withColumnRenamed("part", "place")
+        levels = probe_parts(blocks, parts).withColumnRenamed("part", "place")
         looked_up = looked_up.unionByName(levels, allowMissingColumns=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
