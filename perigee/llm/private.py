@@ -214,8 +214,9 @@ def disclosing_terms(docs: DataFrame, values: DataFrame, tokens: DataFrame | Non
 def find_terms(docs: DataFrame, values: DataFrame) -> DataFrame:
     """Spans of disclosing terms in the documents that hold the value they give away: key, kind, class, start, end, share."""
     tokens = work_table(term_tokens(docs, values), "private-tokens")
-    wanted = disclosing_terms(docs, values, tokens)
-    return tokens.join(wanted, ["key", "term"]).select("key", F.lit("term").alias("kind"), "class", "start", "end", "share")
+    wanted = work_table(disclosing_terms(docs, values, tokens), "private-wanted")
+    pair = F.xxhash64("key", "term")
+    return _thinned(tokens, pair, wanted.select(pair.alias("pair"))).join(wanted, ["key", "term"]).select("key", F.lit("term").alias("kind"), "class", "start", "end", "share")
 
 
 def find_private(docs: DataFrame) -> DataFrame:
