@@ -118,6 +118,41 @@ def test_order_of_rules_follows_rejections_per_cost(docs):
     assert verdicts.filter("x != y").count() == 0
 
 
+def _costly(words):
+    """Letters in the words' digests: a number found by much work."""
+    return F.aggregate(words, F.lit(0), lambda n, w: n + F.regexp_count(F.sha2(w, 256), F.lit("[a-f]")))
+
+
+def test_cheap_rules_go_before_dear_ones_of_equal_selectivity(spark):
+    r = random.Random(12)
+    frame = spark.createDataFrame([(i, prose(r, r.randrange(5, 60))) for i in range(2000)], "doc_id long, text string")
+    cheap = quality.Rule("cheap", lambda text, words, lines: F.size(words) < 20)
+    dear = quality.Rule("dear", lambda text, words, lines: (_costly(words) >= 0) & (F.size(words) < 20))
+    never = quality.Rule("never", lambda text, words, lines: F.size(words) < 0)
+    with quality.work_scope(spark):
+        sample = quality.work_table(quality.with_parts(frame.select("text")), "sample")
+        costs = quality.rule_costs(sample, [dear, cheap])
+    assert costs["dear"] > 2 * costs["cheap"]
+    assert [rule.name for rule in quality.order_rules(frame, [never, dear, cheap])][0] == "cheap"
+
+
+def test_rules_are_chosen_by_what_the_others_leave():
+    rules = [quality.Rule(name, None) for name in "abcd"]
+    costs = {"a": 1.0, "b": 1.0, "c": 1.0, "d": 2.0}
+    # b rejects more rows than c, but a leaves none of them.
+    patterns = {("a",): 10, ("a", "b"): 30, ("c",): 5, ("d",): 12, (): 100}
+    assert [rule.name for rule in quality.greedy_order(rules, costs, patterns)] == ["a", "d", "c", "b"]
+    assert quality.greedy_order(rules[:2], costs, {}) == rules[:2]
+
+
+def test_sample_of_rules_is_bounded_where_all_texts_are_equal(spark, monkeypatch):
+    sizes = []
+    costs = quality.rule_costs
+    monkeypatch.setattr(quality, "rule_costs", lambda sample, rules: sizes.append(sample.count()) or costs(sample, rules))
+    quality.order_rules(spark.range(4000).select(F.lit("a b c").alias("text")), quality.RULES[:2], sample_rows=100)
+    assert 50 < sizes[0] < 200
+
+
 def test_near_documents(docs, empty, odd, texts):
     sets, _, labels = jaccard.near_groups(docs)
     ids = docs.select("doc_id", jaccard.document_key().alias("key"))
