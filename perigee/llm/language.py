@@ -3,14 +3,14 @@
 Each language has a codeword. For each bit of the code a binary classifier over character
 n-grams tells the languages that have the bit from those that have not; a text's language is
 the codeword with the least loss against the classifiers' margins, each weighed by how often
-its classifier was right. Where the second codeword comes close, the text is flagged.
+its classifier was right on texts it had not learnt from. Where the second codeword comes close, the text is flagged.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -27,6 +27,8 @@ SPACE = 32
 UNKNOWN = "und"
 #: About so many texts of a language are learnt from, drawn by hash; a language with fewer gives all.
 TRAIN_ROWS = 4000
+#: Parts of the sample; each part's texts are judged by classifiers that learnt from the others.
+FOLDS = 4
 #: Texts of which the best two codewords are nearer than this are flagged.
 CLEAR = 0.9
 
@@ -148,7 +150,8 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """A model from texts with a language (text, lang, doc_id).
 
     A bounded sample is learnt from: about `train_rows` texts of each language. What comes to the driver
-    is one vector of gram counts per language.
+    is a vector of gram counts per language and fold. Equal texts are in one fold. A text with several languages counts
+    for each; rows without a language or text count for none; of an empty table comes a model that knows none.
     """
     ship_code(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -159,35 +162,46 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
         docs.withColumn("draw", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)))
         .join(F.broadcast(limits), "lang")  # one row per language; the model has as many
         .filter(F.col("draw") < F.col("limit"))
-        .select("lang", "text")
+        .select("lang", "text", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"))
     )
     sample = work_table(sample, "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        sums: dict[tuple[str, int], np.ndarray] = {}
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in set(langs):
-                own = sums.setdefault(lang, np.zeros(FEATURES, dtype=np.int64))
-                for _, _, features in gram_blocks([t for t, x in zip(texts, langs, strict=True) if x == lang]):
+            langs, texts, folds = (column.to_pylist() for column in batch.columns)
+            of = [*zip(langs, folds, strict=True)]
+            for place in set(of):
+                own = sums.setdefault(place, np.zeros(FEATURES, dtype=np.int64))
+                for _, _, features in gram_blocks([t for t, x in zip(texts, of, strict=True) if x == place]):
                     own += np.bincount(features, minlength=FEATURES)
         if sums:
+            counts = pa.array([x.tobytes() for x in sums.values()], pa.binary())
+            langs, folds = zip(*sums, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
-                names=["lang", "counts"],
+                [pa.array(langs, pa.string()), pa.array(folds, pa.int32()), counts], names=["lang", "fold", "counts"]
             )
 
     def add(parts):
         total = sum(np.frombuffer(x, dtype=np.int64) for x in parts["counts"])
         return parts.head(1).assign(counts=[total.tobytes()])
 
-    schema = "lang string, counts binary"
-    rows = sample.mapInArrow(count, schema).groupBy("lang").applyInPandas(add, schema).collect()
-    found = {row.lang: np.frombuffer(row.counts, dtype=np.int64) for row in rows}
-    languages = tuple(sorted(found))
+    schema = "lang string, fold int, counts binary"
+    rows = sample.mapInArrow(count, schema).groupBy("lang", "fold").applyInPandas(add, schema).collect()
+    parts = {(row.lang, row.fold): np.frombuffer(row.counts, dtype=np.int64) for row in rows}
+    languages = tuple(sorted({lang for lang, _ in parts}))
     code = code_matrix(len(languages))
-    model = Model(languages, code, _log_odds(found, languages, code), np.ones(code.shape[1]))
-    return Model(languages, code, model.weights, _reliability(sample, model)) if code.shape[1] else model
+
+    def model(*without: int) -> Model:
+        counts = {lang: np.zeros(FEATURES, dtype=np.int64) for lang in languages}
+        for (lang, fold), own in parts.items():
+            if fold not in without:
+                counts[lang] = counts[lang] + own
+        return Model(languages, code, _log_odds(counts, languages, code), np.ones(code.shape[1]))
+
+    if not code.shape[1]:
+        return model()
+    return replace(model(), reliability=_reliability(sample, [model(fold) for fold in range(FOLDS)]))
 
 
 def _log_odds(counts: dict[str, np.ndarray], languages: Sequence[str], code: np.ndarray) -> np.ndarray:
@@ -203,26 +217,24 @@ def _log_odds(counts: dict[str, np.ndarray], languages: Sequence[str], code: np.
     return weights
 
 
-def _reliability(sample: DataFrame, model: Model) -> np.ndarray:
-    """Share of the sample's texts for which each bit's classifier is right."""
-    held = sample.sparkSession.sparkContext.broadcast(model)
-    bits = model.code.shape[1]
+def _reliability(sample: DataFrame, models: Sequence[Model]) -> np.ndarray:
+    """Share of the sample's texts for which each bit's classifier is right, by the model that left their fold out."""
+    held = sample.sparkSession.sparkContext.broadcast(models)
+    bits = models[0].code.shape[1]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = held.value
+        places = {language: i for i, language in enumerate(held.value[0].languages)}
+        hits, seen = np.zeros(bits, dtype=np.int64), 0
         for batch in batches:
-            margins, counts = model.margins(batch.column(1).to_pylist())
-            places = {language: i for i, language in enumerate(model.languages)}
-            words = model.code[[places[x] for x in batch.column(0).to_pylist()]]
-            right = (margins * words > 0)[counts > 0]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(bits), pa.int64()),
-                    pa.array(right.sum(0), pa.int64()),
-                    pa.array(np.full(bits, len(right)), pa.int64()),
-                ],
-                names=["bit", "hits", "seen"],
-            )
+            langs, texts, folds = (column.to_pylist() for column in batch.columns)
+            for fold in set(folds):
+                own, model = [i for i, x in enumerate(folds) if x == fold], held.value[fold]
+                margins, counts = model.margins([texts[i] for i in own])
+                words = model.code[[places[langs[i]] for i in own]]
+                right = (margins * words > 0)[counts > 0]
+                hits, seen = hits + right.sum(0), seen + len(right)
+        columns = [pa.array(np.arange(bits), pa.int64()), pa.array(hits, pa.int64()), pa.array(np.full(bits, seen), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["bit", "hits", "seen"])
 
     sums = sample.mapInArrow(judge, "bit long, hits long, seen long").groupBy("bit").agg(
         F.sum("hits").alias("hits"), F.sum("seen").alias("seen")
@@ -237,7 +249,8 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -
     """`keep` columns with lang_pred, score (0 to 1) and `ambiguous`, from the whole text alone.
 
     A null text, one without letters, and any text if nothing was learnt, is `und` with score 0. Equal texts get equal
-    results. The model is broadcast: its size is bounded by the number of features and of bits.
+    results, and the language first by name where two codewords are equally near. A very long text is read whole, in
+    pieces. The model is broadcast: its size is bounded by the number of features and of bits.
     """
     ship_code(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)

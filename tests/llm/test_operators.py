@@ -153,8 +153,9 @@ def test_sample_of_rules_is_bounded_where_all_texts_are_equal(spark, monkeypatch
     assert 50 < sizes[0] < 200
 
 
-def test_near_documents(docs, empty, odd, texts):
-    sets, _, labels = jaccard.near_groups(docs)
+@pytest.mark.parametrize("shingle, percent", [(3, 90), (5, 92)])
+def test_near_documents(docs, empty, odd, texts, shingle, percent):
+    sets, _, labels = jaccard.near_groups(docs, shingle, percent)
     ids = docs.select("doc_id", jaccard.document_key().alias("key"))
     rows = ids.join(sets, "key").join(labels, "node", "left").select(
         "doc_id", "n", F.coalesce("component", "node").alias("group")
@@ -163,9 +164,9 @@ def test_near_documents(docs, empty, odd, texts):
     for row in rows:
         smallest[row.group] = min(row.doc_id, smallest.get(row.group, row.doc_id))
     found = {r.doc_id: (r.n, r.doc_id if r.group is None else smallest[r.group]) for r in rows}
-    wanted = brute.near_groups(list(enumerate(texts)))
+    wanted = brute.near_groups(list(enumerate(texts)), shingle, percent)
     assert found == wanted
-    kept = jaccard.keep_one(docs)
+    kept = jaccard.keep_one(docs, shingle, percent)
     assert kept.columns == docs.columns
     assert {row.doc_id for row in kept.collect()} == {i for i, (_, first) in wanted.items() if i == first}
     assert jaccard.keep_one(empty).count() == 0
@@ -175,6 +176,11 @@ def test_near_documents(docs, empty, odd, texts):
     )
 
 
+def test_near_groups_refuse_what_the_bands_cannot_hold(docs):
+    with pytest.raises(ValueError, match="from 90"):
+        jaccard.near_groups(docs, 5, 80)
+
+
 def test_bound_is_never_below_the_overlap():
     import numpy as np
 
@@ -186,19 +192,21 @@ def test_bound_is_never_below_the_overlap():
         assert jaccard.overlap_bound(len(a), jaccard.bitmap(a), len(b), jaccard.bitmap(b)) >= shared
 
 
-def test_near_sets_share_a_bucket():
+@pytest.mark.parametrize("percent", [90, 92, 95])
+def test_near_sets_share_a_bucket(percent):
     import numpy as np
 
     r = np.random.default_rng(4)
     for size in [9, 10, 13, 19, 20, 27, 40, 90, 300, 1000]:
         for _ in range(40):
             a = np.unique(r.integers(0, 2**63, size).astype(np.uint64))
-            drop = r.integers(0, len(a) // 19 + 1)
-            b = np.concatenate([r.permutation(a)[drop:], r.integers(0, 2**63, r.integers(0, len(a) // 10 + 1)).astype(np.uint64)])
+            drop = r.integers(0, len(a) * (100 - percent) // 190 + 1)
+            more = r.integers(0, len(a) * (100 - percent) // 100 + 1)
+            b = np.concatenate([r.permutation(a)[drop:], r.integers(0, 2**63, more).astype(np.uint64)])
             b = np.unique(b)
             shared = len(np.intersect1d(a, b))
-            if 100 * shared >= 90 * (len(a) + len(b) - shared) and not np.array_equal(a, b):
-                assert len(np.intersect1d(jaccard.bucket_keys(a), jaccard.bucket_keys(b)))
+            if 100 * shared >= percent * (len(a) + len(b) - shared) and not np.array_equal(a, b):
+                assert len(np.intersect1d(jaccard.bucket_keys(a, percent), jaccard.bucket_keys(b, percent)))
 
 
 def test_components(spark):
@@ -317,6 +325,63 @@ def test_language(spark, docs, empty, odd, texts):
     assert language.identify(empty, model).count() == 0
 
 
+def test_language_agrees_with_a_plain_version(spark):
+    """Counting, classifiers, reliability by folds and decoding, one text and one gram at a time."""
+    import math
+
+    r = random.Random(6)
+    alphabets = {"aa": "abcdefghinor", "bb": "ghinorstuvwy", "cc": "aeiouéèàçst"}
+    word = lambda x: "".join(r.choice(alphabets[x]) for _ in range(r.randrange(2, 6)))
+    rows = [(i, " ".join(word(x) for _ in range(r.randrange(1, 7))), x) for i in range(40) for x in alphabets]
+    frame = spark.createDataFrame([(k, t, x) for k, (_, t, x) in enumerate(rows)], "doc_id long, text string, lang string")
+    fold = F.pmod(F.xxhash64("text"), F.lit(language.FOLDS)).alias("fold")
+    train = [(x.text, x.lang, x.fold) for x in frame.select("text", "lang", fold).collect()]
+    grams = {text: [int(g) for _, _, found in language.gram_blocks([text]) for g in found] for text, *_ in train}
+    names = sorted(alphabets)
+    code = language.code_matrix(len(names)).tolist()
+    bits = range(len(code[0]))
+
+    def weights(texts):
+        counts = {x: {} for x in names}
+        for text, lang, _ in texts:
+            for g in grams[text]:
+                counts[lang][g] = counts[lang].get(g, 0) + 1
+        total = {x: sum(counts[x].values()) + 0.5 * language.FEATURES for x in names}
+        share = lambda x, g: (counts[x].get(g, 0) + 0.5) / total[x]
+
+        def weight(bit, g):
+            sides = [[share(x, g) for i, x in enumerate(names) if code[i][bit] == side] for side in (1, -1)]
+            return math.log(sum(sides[0]) / len(sides[0])) - math.log(sum(sides[1]) / len(sides[1]))
+
+        return weight
+
+    def margins(weight, text):
+        return [sum(weight(bit, g) for g in grams[text]) / math.sqrt(len(grams[text])) for bit in bits]
+
+    hits = [0] * len(bits)
+    for left_out in range(language.FOLDS):
+        weight = weights([x for x in train if x[2] != left_out])
+        for text, lang, own in train:
+            if own == left_out:
+                for bit, margin in enumerate(margins(weight, text)):
+                    hits[bit] += margin * code[names.index(lang)][bit] > 0
+    reliability = [(n + 1) / (len(train) + 2) for n in hits]
+    model = language.learn(frame)
+    assert model.languages == tuple(names)
+    assert model.reliability.tolist() == pytest.approx(reliability, abs=1e-9)
+    assert min(reliability) < 0.99  # in part wrong on texts not learnt from
+    weight = weights(train)
+    found = by_id(language.identify(frame, model), "lang_pred", "score")
+    for i, (_, text, _) in enumerate(rows):
+        own = margins(weight, text)
+        loss = [
+            sum(math.log1p(math.exp(-m * bit)) * w for m, bit, w in zip(own, word, reliability, strict=True)) for word in code
+        ]
+        shares = [math.exp(min(loss) - x) for x in loss]
+        best = shares.index(max(shares))
+        assert found[i] == (names[best], pytest.approx(shares[best] / sum(shares), abs=1e-4))
+
+
 def test_codes_are_apart():
     for n in range(2, 40):
         code = language.code_matrix(n)
