@@ -72,12 +72,12 @@ def set_name(elements: np.ndarray) -> np.ndarray:
     return mix(np.array([mix(elements).sum() + np.uint64(len(elements))], dtype=np.uint64))
 
 
-def _most_difference(smaller: int) -> int:
+def _most_difference(smaller: int, percent: int) -> int:
     """Most elements in which a set of at most `smaller` elements and a near one can differ."""
-    return smaller * (100 - PERCENT) // PERCENT
+    return smaller * (100 - percent) // percent
 
 
-def bucket_keys(elements: np.ndarray) -> np.ndarray:
+def bucket_keys(elements: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Names of the set's parts in the tiles it belongs to: near sets have one in common.
 
     Empty parts have no name. A set with more of them than the tile allows for is also dealt out in
@@ -88,11 +88,11 @@ def bucket_keys(elements: np.ndarray) -> np.ndarray:
     band = int(np.searchsorted(BANDS, size, "right")) - 1
     tiles = [band]
     below = int(BANDS[band]) - 1
-    if size * PERCENT <= below * 100:
+    if size * percent <= below * 100:
         tiles.append(band - 1)
     out = []
     for tile in tiles:
-        differ = _most_difference(int(BANDS[tile + 1]) - 1)
+        differ = _most_difference(int(BANDS[tile + 1]) - 1, percent)
         if not differ:
             continue  # only equal sets are near
         spare = differ // 32
@@ -133,20 +133,20 @@ def overlap_bound(size_a: int, bits_a: bytes, size_b: int, bits_b: bytes) -> int
     return min(size_a - int(only_a), size_b - int(only_b))
 
 
-def _near(shared, size_a, size_b):
-    return 100 * shared >= PERCENT * (size_a + size_b - shared)
+def _near(shared, size_a, size_b, percent: int):
+    return 100 * shared >= percent * (size_a + size_b - shared)
 
 
-def document_sets(docs: DataFrame) -> DataFrame:
+def document_sets(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """key, node, n and keys of every document (key, text): its set's name, size and buckets. No words: no node."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, sizes, keys = [], [], []
-            for elements in text_sets(batch.column(1)):
+            for elements in text_sets(batch.column(1), shingle):
                 names.append(int(set_name(elements).view(np.int64)[0]) if len(elements) else None)
                 sizes.append(len(elements))
-                keys.append(bucket_keys(elements) if len(elements) else elements)
+                keys.append(bucket_keys(elements, percent) if len(elements) else elements)
             ends = np.cumsum([0, *map(len, keys)])
             flat = np.concatenate(keys) if keys else np.zeros(0, dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -187,14 +187,14 @@ def shared_members(sets: DataFrame) -> DataFrame:
     return found.join(buckets, "key").select("key", "node", "first")
 
 
-def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def candidate_sets(docs: DataFrame, nodes: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """node, n, bits and elements of the sets named, one row each, read from the texts again."""
     held = value_filter(nodes.select("node").distinct(), FILTER_BITS)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = {}
-            for elements in text_sets(batch.column(0)):
+            for elements in text_sets(batch.column(0), shingle):
                 if len(elements):
                     name = set_name(elements)
                     if contains(held.value, name)[0]:
@@ -214,7 +214,7 @@ def candidate_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(one).select("node", "s.*")
 
 
-def near_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def near_pairs(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of the pairs (a, b) that are linked: bounds first, then the arrays of what is left."""
 
     def side(name: str, *columns: str) -> DataFrame:
@@ -223,7 +223,7 @@ def near_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, *rest = (column.to_pylist() for column in batch.columns)
-            ok = [_near(overlap_bound(n_a, x, n_b, y), n_a, n_b) for n_a, x, n_b, y in zip(*rest, strict=True)]
+            ok = [_near(overlap_bound(n_a, x, n_b, y), n_a, n_b, percent) for n_a, x, n_b, y in zip(*rest, strict=True)]
             yield pa.RecordBatch.from_arrays([x.filter(pa.array(ok, pa.bool_())) for x in batch.columns[:2]], names=["a", "b"])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,17 +233,17 @@ def near_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
                 x, y = (x, y) if len(x) < len(y) else (y, x)
                 places = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                ok.append(bool(_near(int((y[places] == x).sum()), len(x), len(y))))
+                ok.append(bool(_near(int((y[places] == x).sum()), len(x), len(y), percent)))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
     sized = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    sized = sized.filter(100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
+    sized = sized.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     possible = sized.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(bound, "a long, b long")
     full = possible.join(side("a", "elements"), "a").join(side("b", "elements"), "b")
     return full.select("a", "b", "elements_a", "elements_b").mapInArrow(exact, "a long, b long")
 
 
-def _block_links(rows) -> list[tuple[int, int]]:
+def _block_links(rows, percent: int) -> list[tuple[int, int]]:
     """Links that join the components (label) among the sets of two blocks, as few as will do."""
     nodes, labels = rows["node"].to_numpy(), rows["label"].to_numpy()
     sizes = rows["n"].to_numpy()
@@ -255,7 +255,7 @@ def _block_links(rows) -> list[tuple[int, int]]:
         only_i = np.bitwise_count(bits[i] & ~bits[others]).sum(1, dtype=np.int64)
         only_j = np.bitwise_count(bits[others] & ~bits[i]).sum(1, dtype=np.int64)
         bound = np.minimum(sizes[i] - only_i, sizes[others] - only_j)
-        possible[i, others] = _near(bound, sizes[i], sizes[others]) & (labels[others] != labels[i])
+        possible[i, others] = _near(bound, sizes[i], sizes[others], percent) & (labels[others] != labels[i])
     used = np.flatnonzero(possible.any(0) | possible.any(1))
     if not len(used):
         return []
@@ -276,7 +276,7 @@ def _block_links(rows) -> list[tuple[int, int]]:
         held = np.zeros((len(sets), min(step, len(common) - low)), dtype=np.float32)
         held[owner[part], place[part] - low] = 1
         shared += held @ held.T
-    near = possible & _near(shared.astype(np.int64), sizes[:, None], sizes[None, :])
+    near = possible & _near(shared.astype(np.int64), sizes[:, None], sizes[None, :], percent)
     root = {label: label for label in labels.tolist()}
 
     def find(x):
@@ -293,7 +293,7 @@ def _block_links(rows) -> list[tuple[int, int]]:
     return links
 
 
-def open_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def open_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between the components that still meet in a bucket.
 
     Buckets of two have been settled by their only pair. Sets that meet in the others, one way or another,
@@ -324,7 +324,7 @@ def open_links(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFr
     full = tiles.join(sets, "node")
 
     def compare(rows):
-        links = _block_links(rows)
+        links = _block_links(rows, percent)
         return type(rows)({"a": [x for x, _ in links], "b": [y for _, y in links]}, dtype="int64")
 
     return full.groupBy("group", "x", "y").applyInPandas(compare, "a long, b long").distinct()
@@ -335,33 +335,40 @@ def document_key():
     return F.xxhash64("doc_id", "text")
 
 
-def near_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sets of the documents (doc_id, text) and how they are linked.
+def near_groups(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets of the documents (doc_id, text) and how they are linked: by `percent` of their shingles of `shingle` words.
+
+    `percent` is 90 or more: below, a tile has so many parts that too many of them are empty. Very long texts are cut
+    into shingles whole.
 
     Gives documents (key, node, n; see `document_key`), one row per row of `docs`; the links found (a, b) between
     sets; and the component of every set that has one (node, component). Null and empty texts have no node. Equal
     sets are one node. An empty table gives empty ones.
     """
+    if not PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be from {PERCENT} to 100")
     ship_code(docs.sparkSession)
     keyed = docs.select(document_key().alias("key"), "text")
-    sets = work_table(document_sets(keyed), "near-sets")
+    sets = work_table(document_sets(keyed, shingle, percent), "near-sets")
     members = work_table(shared_members(sets), "near-members")
     pairs = members.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    candidates = work_table(candidate_sets(keyed, members), "near-candidates")
-    links = work_table(near_pairs(pairs, candidates), "near-links")
+    candidates = work_table(candidate_sets(keyed, members, shingle), "near-candidates")
+    links = work_table(near_pairs(pairs, candidates, percent), "near-links")
     labels = work_table(connected_components(links), "near-labels")
-    more = work_table(open_links(members, labels, candidates), "near-more")
+    more = work_table(open_links(members, labels, candidates, percent), "near-more")
     stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
     labels = work_table(connected_components(stars.union(more)), "near-labels")
     return sets.select("key", "node", "n"), links.union(more), labels
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each component, that with the smallest id (null ids last), with its columns as they are.
 
     Rows repeated with their id and text become one. Documents without words are linked with nothing and stay.
     """
-    sets, _, labels = near_groups(docs)
+    sets, _, labels = near_groups(docs, shingle, percent)
     ids = docs.select(document_key().alias("key"), "doc_id").distinct()
     grouped = (
         sets.distinct()

@@ -94,14 +94,14 @@ def shingle_set(text, size=3):
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def near_groups(docs):
+def near_groups(docs, size=3, percent=90):
     """Per document (id, text): number of shingles, smallest id linked with it."""
-    sets = {doc_id: shingle_set(text) for doc_id, text in docs}
+    sets = {doc_id: shingle_set(text, size) for doc_id, text in docs}
     groups, ids = Groups(), [i for i in sets if sets[i]]
     for place, i in enumerate(ids):
         for j in ids[:place]:
             shared = len(sets[i] & sets[j])
-            if 100 * shared >= 90 * (len(sets[i]) + len(sets[j]) - shared):
+            if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
                 groups.join(i, j)
     return {i: (len(s), groups.find(i)) for i, s in sets.items()}
 
