@@ -11,7 +11,7 @@ from feeds import document, neo
 from pyspark.sql import functions as F
 
 from perigee.operators.days import newest_per_day
-from perigee.operators.flatten import flatten_feed
+from perigee.operators.flatten import feed_errors, flatten_feed
 from perigee.operators.periods import peak_periods, period_counts, top_period
 from perigee.plans.marts import (
     APPROACH_MARTS,
@@ -91,6 +91,13 @@ def test_documents_are_parsed_once_without_a_shuffle(spark, tmp_path):
     assert "Exchange" not in text
 
 
+@pytest.mark.parametrize("step", [flatten_feed, feed_errors])
+def test_objects_are_converted_once(spark, tmp_path, step):
+    (tmp_path / "a.json").write_text(document({"2024-01-01": [neo(1)]}))
+    optimized = step(spark.read.text(str(tmp_path)))._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("transform(") == 1
+
+
 def test_newest_per_day_keeps_one_row_per_task(spark):
     rows = spark.range(9).selectExpr("id % 2 AS day", "id AS place", "id")
     text = plan(newest_per_day(rows, "day", "place", ["id"]))
