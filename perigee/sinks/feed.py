@@ -13,9 +13,13 @@ def _messages(documents: DataFrame) -> DataFrame:
     return sent.select(F.regexp_replace(F.btrim("value", F.lit(" \t\r\n")), "[\r\n]+", " ").alias("value"))
 
 
-def publish_files(documents: DataFrame, path: str) -> None:
-    """Add documents to a landing folder, one per line."""
-    _messages(documents).write.mode("append").text(path)
+def publish_files(documents: DataFrame, path: str, compression: str = "none") -> None:
+    """Add documents to a landing folder, one per line.
+
+    With a `compression` (such as "lz4" or "gzip") the files are a tenth or less, since documents repeat their field
+    names; all readers here take them as they are, each file by one task.
+    """
+    _messages(documents).write.mode("append").option("compression", compression).text(path)
 
 
 def publish_topic(documents: DataFrame, servers: str, topic: str) -> None:
