@@ -290,6 +290,17 @@ def test_near_lines_share_a_band_at_all_lengths(spark):
         assert sum(found) >= 0.98 * len(found), (kind, sum(found), len(found))
 
 
+def test_lines_of_one_language_seldom_meet(spark):
+    r = random.Random(14)
+    syllables = ["th", "an", "er", "on", "in", "ed", "st", "re", "ou", "ing", "tion", "ha"]
+    words = ["".join(r.choices(syllables, k=r.randrange(1, 4))) for _ in range(60)]
+    rows = [(i, " ".join(r.choices(words, k=60))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # None is near to another, though all are made of the same few shingles.
+    members = lines.bucket_members(lines.with_bands(lines.document_lines(df)))
+    assert members.select("id").distinct().count() < 300
+
+
 def test_open_buckets_are_compared_wholly(spark, monkeypatch):
     r = random.Random(12)
     monkeypatch.setattr(lines, "BLOCK_LINES", 7)
