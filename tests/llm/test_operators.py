@@ -316,6 +316,31 @@ def test_open_buckets_are_compared_wholly(spark, monkeypatch):
     assert all(groups[2 * i] == groups[2 * i + 1] for i in range(len(bases)))
 
 
+def test_fruitless_rounds_end(spark, monkeypatch):
+    r = random.Random(15)
+    rounds, centre_pairs = [], lines.centre_pairs
+    monkeypatch.setattr(lines, "centre_pairs", lambda *given: rounds.append(given) or centre_pairs(*given))
+    df = spark.createDataFrame([(i, prose(r, 25)) for i in range(lines.LARGE + 8)], "doc_id long, text string")
+    ids = lines.document_lines(df).select("id", F.array(F.lit(1).cast("long")).alias("bands"))
+    assert lines.line_links(ids, df).count() == 0
+    assert len(rounds) == 1
+
+
+def test_near_lines_of_other_lengths_pass_the_filter(spark):
+    r = random.Random(16)
+    rows = []
+    for i in range(1500):
+        text = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=504))
+        # 400 shingles of 500, the least that is near.
+        rows += [(2 * i, text), (2 * i + 1, text[:404])]
+    texts = lines.sized_lines(spark.createDataFrame(rows, "id long, line string"))
+    pairs = texts.alias("a").join(texts.alias("b"), F.expr("a.id + 1 = b.id AND a.id % 2 = 0"))
+    pairs = pairs.filter("a.n = 500 AND b.n = 400")
+    near = lines.can_be_near(*map(F.col, ("a.n", "a.low", "b.n", "b.low")))
+    # Five standard deviations allow for one in some three million.
+    assert pairs.count() > 1000 and pairs.filter(~near).count() == 0
+
+
 def test_language(spark, docs, empty, odd, texts):
     r = random.Random(1)
     alphabets = {"aa": "abcdeimnor", "bb": "kopqrstuvy", "cc": "éèàçuvwxyz", "dd": "зиклмнопр"}
