@@ -86,3 +86,33 @@ def test_plain_days_are_written_by_many_tasks_a_file_a_day(spark, tmp_path, monk
         days.setdefault(file.parent, []).append(re.match(r"part-(\d+)", file.name)[1])
     assert len(days) == 90 and all(len(parts) == 1 for parts in days.values())
     assert len({parts[0] for parts in days.values()}) > spark.sparkContext.defaultParallelism
+
+
+def test_whole_files_are_written_by_the_tasks_themselves(spark, tmp_path, monkeypatch):
+    given = [("{1}", 0), ("{2}\n", 1), ("{3}", None), (None, 1), ("{1}", 0)]
+    frame = spark.createDataFrame(given, "value string, folder int")
+    found = []
+    for name in ("mounted", "store"):
+        if name == "store":
+            monkeypatch.setattr(store_queries, "mounted_path", lambda *_: None)
+        store_queries.land_whole(frame, str(tmp_path / name))
+        files = [f for f in (tmp_path / name).rglob("part-*") if f.is_file()]
+        found.append(sorted((f.parent.name, f.read_bytes()) for f in files))
+    assert found[0] == found[1] and len(found[0]) == 5
+    assert not list((tmp_path / "mounted").rglob(".*.crc"))
+
+
+def test_relay_publishes_few_files_of_many(spark, tmp_path):
+    few = 16 * spark.sparkContext.defaultParallelism
+    (tmp_path / "landing").mkdir()
+    for i in range(few + 20):
+        (tmp_path / "landing" / f"{i}.json").write_text(f"{{\n{i}\n}}\n")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    # As if the files were so many that each task of the scan has its share.
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+    try:
+        jobs.relay(spark, str(tmp_path / "landing"), partial(publish_files, path=str(tmp_path / "sent")), whole_files=True)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert rows(spark.read.text(str(tmp_path / "sent"))) == sorted((f"{{ {i} }}",) for i in range(few + 20))
+    assert len(list((tmp_path / "sent").glob("part-*"))) <= few
