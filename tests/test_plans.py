@@ -98,6 +98,13 @@ def test_objects_are_converted_once(spark, tmp_path, step):
     assert optimized.count("transform(") == 1
 
 
+@pytest.mark.parametrize("step", [flatten_feed, feed_errors])
+def test_values_are_looked_up_once(spark, tmp_path, step):
+    (tmp_path / "a.json").write_text(document({"2024-01-01": [neo(1)]}))
+    optimized = step(spark.read.text(str(tmp_path)))._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count(".miss_distance.lunar") == 1
+
+
 def test_newest_per_day_keeps_one_row_per_task(spark):
     rows = spark.range(9).selectExpr("id % 2 AS day", "id AS place", "id")
     text = plan(newest_per_day(rows, "day", "place", ["id"]))
